@@ -220,7 +220,7 @@ def intake_counts(df: DataFrame, spec: CleaningSpec) -> DataFrame:
     named, _ = normalize_columns(df)
     text = clean_text(nulls_only(named), spec.missing_markers)
     empty = F.count_if(all_missing(text)) if spec.drop_empty_rows else F.lit(0).cast("bigint")
-    return text.agg(F.count("*").alias("input_rows"), F.max(F.lit(0)).alias("_"), empty.alias("empty_rows")).drop("_")
+    return text.agg(F.count("*").alias("input_rows"), empty.alias("empty_rows"))
 
 
 def row_accounting(df: DataFrame, spec: CleaningSpec) -> DataFrame:

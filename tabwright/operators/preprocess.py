@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     OneHotEncoder,
     SQLTransformer,
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,19 +98,22 @@ class Preprocessing:
         blocks = [f"tw_num_{i}" for i in range(len(self.numeric))]
         if self.categorical:
             k = range(len(self.categorical))
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [self.categories[c] for c in self.categorical],
-                inputCols=[f"tw_cat_{i}" for i in k],
-                outputCols=[f"tw_idx_{i}" for i in k],
-                handleInvalid="keep",
-            )
+            indexers = [
+                StringIndexerModel.from_labels(
+                    self.categories[c],
+                    inputCol=f"tw_cat_{i}",
+                    outputCol=f"tw_idx_{i}",
+                    handleInvalid="keep",
+                )
+                for i, c in enumerate(self.categorical)
+            ]
             encoder = OneHotEncoder(
                 inputCols=[f"tw_idx_{i}" for i in k],
                 outputCols=[f"tw_hot_{i}" for i in k],
                 dropLast=True,
             )
-            schema_only = indexer.transform(stages[0].transform(sample))
-            stages += [indexer, encoder.fit(schema_only)]
+            stages += indexers
+            stages.append(encoder.fit(PipelineModel(stages).transform(sample)))
             blocks += [f"tw_hot_{i}" for i in k]
         if not blocks:
             raise ValueError("there are no usable feature columns")
@@ -193,9 +197,6 @@ def fit_preprocessing(
 
 def class_weights(counts: DataFrame) -> DataFrame:
     """(class, n, weight) with weight = rows / (classes * n) from (class, n)."""
-    total = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))
-    return counts.join(F.broadcast(total.withColumn("one", F.lit(1))), F.lit(1) == F.col("one")).select(
-        "class", "n", (F.col("rows") / (F.col("classes") * F.col("n"))).alias("weight")
-    )
-
-
+    every = Window.partitionBy(F.lit(1))  # one small row per class
+    rows, classes = F.sum("n").over(every), F.count("*").over(every)
+    return counts.select("class", "n", (rows / (classes * F.col("n"))).alias("weight"))

@@ -53,20 +53,20 @@ def wide_categories(df: DataFrame, columns, above: float, share: float = 0.5) ->
     """{column: distinct} for columns with more than ``above`` distinct values
     that also exceed ``share`` of the rows.
 
-    A sketch (1 % error) rules out the clear cases in one pass; only columns
-    near or over both limits are counted exactly.
+    A sketch with a standard error of 5 % rules out columns below half of either
+    limit in one pass; all others are counted exactly.
     """
     if not columns:
         return {}
     seen = df.agg(
         F.count("*").alias("rows"),
-        *[F.approx_count_distinct(quoted(c), 0.01).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[F.approx_count_distinct(quoted(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)],
     ).first()
     rows = seen["rows"]
     near = [
         c
         for i, c in enumerate(columns)
-        if seen[f"d{i}"] > 0.8 * above and seen[f"d{i}"] > 0.8 * share * rows
+        if seen[f"d{i}"] > 0.5 * above and seen[f"d{i}"] > 0.5 * share * rows
     ]
     if not near:
         return {}

@@ -145,6 +145,7 @@ def write_table(
     if fmt not in allowed:
         raise ValueError(f"output must be one of {list(allowed)}, not {fmt!r}")
     writer = df.write.mode("overwrite" if overwrite else "errorifexists")
+    writer = writer.option("timestampNTZFormat", ISO_TIMESTAMP)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -157,14 +158,12 @@ def write_table(
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
             timestampFormat=ISO_TIMESTAMP,
-            timestampNTZFormat=ISO_TIMESTAMP,
         )
     elif fmt == "json":
         writer.json(
             str(path),
             ignoreNullFields=False,
             timestampFormat=ISO_TIMESTAMP,
-            timestampNTZFormat=ISO_TIMESTAMP,
         )
     else:
         writer.parquet(str(path))

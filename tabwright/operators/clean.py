@@ -21,6 +21,7 @@ from tabwright.functions import (
     to_number,
 )
 from tabwright.operators.counts import is_missing, missing_counts
+from tabwright.operators.duplicates import distinct_rows
 from tabwright.operators.schema import (
     normalize_columns,
     nulls_only,
@@ -36,6 +37,8 @@ class CleaningSpec:
     missing_markers: tuple = MISSING_MARKERS
     drop_empty_rows: bool = True
     drop_duplicate_rows: bool = True
+    # True: look for repeats by row hash first, so only they are shuffled
+    rare_duplicates: bool = False
     date_formats: tuple = DEFAULT_DATE_FORMATS
 
 
@@ -159,7 +162,9 @@ def trimmed_rows(df: DataFrame, spec: CleaningSpec) -> DataFrame:
     text = clean_text(nulls_only(named), spec.missing_markers)
     if spec.drop_empty_rows:
         text = drop_empty(text)
-    return drop_repeats(text) if spec.drop_duplicate_rows else text
+    if not spec.drop_duplicate_rows:
+        return text
+    return distinct_rows(text) if spec.rare_duplicates else drop_repeats(text)
 
 
 def clean_table(df: DataFrame, spec: CleaningSpec, observation: Observation | None = None):
@@ -172,24 +177,32 @@ def clean_table(df: DataFrame, spec: CleaningSpec, observation: Observation | No
     rows = trimmed_rows(df, spec)
     require_columns(rows, spec.numeric_columns, "number conversion")
     require_columns(rows, spec.date_columns, "date conversion")
-    if observation is not None:
-        counters = [c.alias(f"i{n}") for n, (_, _, c) in enumerate(invalid_counters(rows, spec))]
-        converted = {**{c: _number(f) for c, f in _named(rows, spec.numeric_columns)}}
-        for c, f in _named(rows, spec.date_columns):
-            converted[c] = parse_timestamp(quoted(c), f.dataType, spec.date_formats)
-        gaps = [
-            F.count_if(converted.get(f.name, quoted(f.name)).isNull()).alias(f"m{n}")
-            for n, f in enumerate(rows.schema.fields)
-        ]
-        rows = rows.observe(observation, F.count("*").alias("rows"), *counters, *gaps)
-    return convert_dates(
-        convert_numbers(rows, spec.numeric_columns), spec.date_columns, spec.date_formats
+    fields = rows.schema.fields
+    if observation is None:
+        return rows.select(*[_converted(f, spec).alias(f.name) for f in fields])
+    names = {f.name: f for f in fields}
+    kinds = [*spec.numeric_columns, *spec.date_columns]
+    lost = [~is_missing(names[c]) & _converted(names[c], spec).isNull() for c in kinds]
+    # values and flags are computed once below the observation
+    staged = rows.select(
+        *[_converted(f, spec).alias(f.name) for f in fields],
+        *[flag.alias(f"lost_{n}_") for n, flag in enumerate(lost)],
+    ).observe(
+        observation,
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col(f"lost_{n}_")).alias(f"i{n}") for n in range(len(kinds))],
+        *[F.count_if(quoted(f.name).isNull()).alias(f"m{n}") for n, f in enumerate(fields)],
     )
+    return staged.select(*[quoted(f.name) for f in fields])
 
 
-def _named(df, columns):
-    fields = {f.name: f for f in df.schema.fields}
-    return [(c, fields[c]) for c in columns]
+def _converted(f: T.StructField, spec: CleaningSpec):
+    """The column as number or timestamp when the spec names it."""
+    if f.name in spec.numeric_columns:
+        return _number(f)
+    if f.name in spec.date_columns:
+        return parse_timestamp(quoted(f.name), f.dataType, spec.date_formats)
+    return quoted(f.name)
 
 
 def invalid_counts(df: DataFrame, spec: CleaningSpec) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.schema import quoted
-from tabwright.session import small_table
+from tabwright.session import settle_any, small_table
 
 # Hashes broadcast at most: 4 million rows of 8 bytes.
 BROADCAST_ROWS = 4_000_000
@@ -38,10 +38,8 @@ def repeated_rows(df: DataFrame) -> DataFrame:
     """Every row value that occurs more than once, with its ``copies``."""
     source = df
     df, names = _positional(df)
-    hashes = shared_hashes(df, names).persist()
-    size = hashes.count()
+    hashes, size = settle_any(shared_hashes(df, names))
     if size == 0:
-        hashes.unpersist()
         empty = small_table(source.sparkSession, [], source.schema)
         return empty.withColumn("copies", F.lit(0).cast("bigint"))
     if size <= BROADCAST_ROWS:
@@ -68,3 +66,22 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return repeats.agg(
         F.coalesce(F.sum(quoted("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows")
     )
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """One row per distinct row, for tables in which repeats are rare.
+
+    Only rows that share a hash are grouped; all others pass without a shuffle.
+    With too many shared hashes to broadcast, all rows are grouped.
+    """
+    named, names = _positional(df)
+    hashes, size = settle_any(shared_hashes(named, names))
+    if size == 0:
+        return df
+    if size > BROADCAST_ROWS:
+        return df.dropDuplicates()
+    marked = named.withColumn("row_hash", F.xxhash64(*names))
+    hashes = F.broadcast(hashes)
+    once = marked.join(hashes, "row_hash", "left_anti").select(*names)
+    repeated = marked.join(hashes, "row_hash", "left_semi").select(*names).dropDuplicates()
+    return once.unionByName(repeated).toDF(*df.columns)

@@ -62,23 +62,31 @@ def confusion_matrix(counts: DataFrame, classes) -> DataFrame:
 
 def class_report(counts: DataFrame, classes) -> DataFrame:
     """(label, precision, recall, f1, support, predicted, hits); 0/0 is 0."""
-    table = class_table(counts.sparkSession, classes)
-    truth = counts.groupBy("label").agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hits"),
-    )
-    called = counts.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("predicted"))
     zero = F.lit(0).cast("bigint")
-    merged = (
-        table.join(truth, "label", "left")
-        .join(called, "label", "left")
-        .select(
-            "position",
-            "label",
-            F.coalesce("support", zero).alias("support"),
-            F.coalesce("predicted", zero).alias("predicted"),
-            F.coalesce("hits", zero).alias("hits"),
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(zero)
+
+    def side(name, support, predicted, hits):
+        return F.struct(
+            F.col(name).alias("label"),
+            support.alias("support"),
+            predicted.alias("predicted"),
+            hits.alias("hits"),
         )
+
+    # each cell counts once for its true and once for its predicted class
+    sides = F.array(
+        side("label", F.col("n"), zero, hit), side("prediction", zero, F.col("n"), zero)
+    )
+    sums = (
+        counts.select(F.inline(sides))
+        .groupBy("label")
+        .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
+    )
+    table = class_table(counts.sparkSession, classes)
+    merged = table.join(sums, "label", "left").select(
+        "position",
+        "label",
+        *[F.coalesce(c, zero).alias(c) for c in ("support", "predicted", "hits")],
     )
 
     def share(top, bottom):
@@ -155,9 +163,11 @@ def metrics_from_counts(counts: DataFrame, classes) -> dict:
     """The full metric block from a small (label, prediction, n[, loss]) table."""
     classes = list(classes)
     report = class_report(counts, classes)
-    per_class = report.sort("position").collect()
-    total = summary_metrics(report).first().asDict()
-    cells = {(r["label"], r["prediction"]): r["n"] for r in counts.collect()}
+    per_class = sorted(report.collect(), key=lambda r: r["position"])
+    fixed = small_table(counts.sparkSession, [tuple(r) for r in per_class], report.schema)
+    total = summary_metrics(fixed).first().asDict()
+    rows = counts.collect()
+    cells = {(r["label"], r["prediction"]): r["n"] for r in rows}
     metrics = {
         k: total[k]
         for k in (
@@ -182,8 +192,8 @@ def metrics_from_counts(counts: DataFrame, classes) -> dict:
     )
     metrics["classification_report"] = details
     if "loss" in counts.columns:
-        sums = counts.agg(F.sum("loss"), F.sum("n")).first()
-        metrics["log_loss"] = sums[0] / sums[1] if sums[1] else None
+        n = sum(r["n"] for r in rows)
+        metrics["log_loss"] = sum(r["loss"] for r in rows) / n if n else None
     return metrics
 
 

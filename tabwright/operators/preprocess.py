@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.operators.counts import is_missing, modes, value_counts
+from tabwright.operators.counts import is_missing, value_counts
 from tabwright.operators.profile import wide_categories
 from tabwright.operators.quantiles import exact_medians
 from tabwright.operators.schema import FLOATING, quoted, require_columns
@@ -179,19 +179,18 @@ def fit_preprocessing(
             means[r["column"]], scales[r["column"]] = r["mean"], r["scale"]
     top, categories = {}, {}
     if categorical:
-        counts = value_counts(train, categorical).persist()
-        width = counts.filter("value is not null").count()
-        if width > max_width:
-            counts.unpersist()
+        counts = value_counts(train, categorical).filter("value is not null")
+        rows = counts.limit(max_width + 1).collect()
+        if len(rows) > max_width:
             raise ValueError(
-                f"one-hot encoding needs {width} columns, the limit is {max_width}; "
+                f"one-hot encoding needs more than {max_width} columns; "
                 "drop identifier-like features or raise max_width"
             )
-        top = {r["column"]: r["value"] for r in modes(counts).collect()}
-        for r in counts.filter("value is not null").select("column", "value").collect():
-            categories.setdefault(r["column"], []).append(r["value"])
-        counts.unpersist()
-        categories = {c: sorted(v) for c, v in categories.items()}
+        for r in rows:
+            categories.setdefault(r["column"], []).append((r["value"], r["n"]))
+        # ties go to the smallest value
+        top = {c: min(v, key=lambda x: (-x[1], x[0]))[0] for c, v in categories.items()}
+        categories = {c: sorted(x for x, _ in v) for c, v in categories.items()}
     return Preprocessing(numeric, categorical, medians, means, scales, top, categories)
 
 

@@ -182,35 +182,65 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     """(left, right, correlation) for every pair, both orders and the diagonal.
 
     Pearson over rows where both columns have a value; NULL when either is
-    constant there. All pairs are computed in one aggregate.
+    constant there. A first aggregate gives each column's mean and gaps, a second
+    one sums products of centred values. Columns without gaps share their own
+    sums across all pairs.
     """
+    columns = list(columns)
     data = numbers(df, columns)
-    aggregates, names = [], []
+    first = data.agg(
+        F.count("*").alias("rows"),
+        *[
+            f(quoted(c)).alias(f"{tag}{i}")
+            for i, c in enumerate(columns)
+            for tag, f in (("n", F.count), ("mean", F.avg))
+        ],
+    ).first()
+    full = [first[f"n{i}"] == first["rows"] for i in range(len(columns))]
+    centred = [quoted(c) - F.lit(first[f"mean{i}"]) for i, c in enumerate(columns)]
+
+    sums, tags = [], {}
+
+    def total(key, expression):
+        if key not in tags:
+            tags[key] = f"t{len(tags)}"
+            sums.append(expression.alias(tags[key]))
+        return F.col(tags[key])
+
+    def value(i, j):
+        x, y = centred[i], centred[j]
+        both = quoted(columns[i]).isNotNull() & quoted(columns[j]).isNotNull()
+
+        def over(k, z, other):
+            """n, sum, sum of squares and whether ``z`` varies where ``other`` exists."""
+            own = full[other]
+            key = (k,) if own else (k, other)
+            kept = z if own else F.when(both, z)
+            return (
+                total((*key, "n"), F.count(kept)),
+                total((*key, "s"), F.sum(kept)),
+                total((*key, "q"), F.sum(kept * kept)),
+                total((*key, "low"), F.min(kept)) < total((*key, "high"), F.max(kept)),
+            )
+
+        n, sx, qx, x_varies = over(i, x, j)
+        _, sy, qy, y_varies = over(j, y, i)
+        cross = total((i, j, "xy"), F.sum(x * y))
+        spread = F.sqrt((qx - sx * sx / n) * (qy - sy * sy / n))
+        r = F.lit(1.0) if i == j else F.try_divide(cross - sx * sy / n, spread)
+        return F.when(x_varies & y_varies, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+
+    cells = []
     for i, a in enumerate(columns):
         for j in range(i, len(columns)):
-            b = columns[j]
-            both = quoted(a).isNotNull() & quoted(b).isNotNull()
-            x, y = F.when(both, quoted(a)), F.when(both, quoted(b))
-            varied = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-            if i == j:
-                value = F.lit(1.0)
-            else:
-                value = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-            tag = f"r{i}_{j}"
-            aggregates.append(F.when(varied, F.greatest(F.least(value, F.lit(1.0)), F.lit(-1.0))).alias(tag))
-            names.append((a, b, tag))
-    one = data.agg(*aggregates)
-    cells = []
-    for a, b, tag in names:
-        for left, right in dict.fromkeys([(a, b), (b, a)]):
-            cells.append(
-                F.struct(
-                    F.lit(left).alias("left"),
-                    F.lit(right).alias("right"),
-                    F.col(tag).alias("correlation"),
+            r = value(i, j)
+            for left, right in dict.fromkeys([(a, columns[j]), (columns[j], a)]):
+                cells.append(
+                    F.struct(
+                        F.lit(left).alias("left"), F.lit(right).alias("right"), r.alias("correlation")
+                    )
                 )
-            )
-    return one.select(F.inline(F.array(*cells)))
+    return data.agg(*sums).select(F.inline(F.array(*cells)))
 
 
 def describe_numbers(df: DataFrame, columns, **options) -> DataFrame:

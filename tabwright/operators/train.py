@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame
@@ -63,6 +64,14 @@ def target_counts(df: DataFrame, target: str, most: int = 10_000) -> dict:
     return dict(sorted((r["label"], r["n"]) for r in rows))
 
 
+def without_summary(model):
+    """Drop the training summary: it refers to the session and the training rows,
+    would travel with every scoring task and may not be serializable."""
+    none = SparkContext._active_spark_context._jvm.scala.Option.apply(None)
+    model._java_obj.setSummary(none)
+    return model
+
+
 def fit_model(train: DataFrame, spec: TrainSpec):
     """(artifact, training rows, warnings) of a classifier fitted on ``train``.
 
@@ -130,7 +139,7 @@ def fit_model(train: DataFrame, spec: TrainSpec):
             cacheNodeIds=True,
             maxMemoryInMB=512,
         )
-    fitted = estimator.fit(matrix)
+    fitted = without_summary(estimator.fit(matrix))
     artifact = ModelArtifact(
         pipeline=PipelineModel([*stages, fitted]),
         target_column=spec.target_column,

@@ -88,24 +88,7 @@ def validation_findings(df: DataFrame, rules: ValidationRules) -> DataFrame:
             small_table(spark, [("error", "no_rows", "", "")], FINDINGS)
         )
 
-    unique = df if not repeated_names(names) else df.toDF(*[f"c{i}" for i in range(len(names))])
-    gaps = missing_counts(unique)
-    empty = (
-        gaps.groupBy()
-        .agg(F.max("rows").alias("rows"))
-        .filter("rows = 0")
-        .select(*_finding("error", "no_rows", F.lit(""), F.lit("")))
-    )
-    found = found.unionByName(empty)
-    if not repeated_names(names):
-        found = found.unionByName(
-            gaps.filter(F.col("fraction") > rules.max_missing_fraction).select(
-                *_finding(
-                    "error", "missing_fraction", F.col("column"),
-                    F.round("fraction", 4).cast("string"),
-                )
-            )
-        )
+    found = found.unionByName(_counted_findings(df, rules))
     severity = "error" if rules.fail_on_duplicate_rows else "warning"
     found = found.unionByName(
         duplicate_count(df)
@@ -113,19 +96,43 @@ def validation_findings(df: DataFrame, rules: ValidationRules) -> DataFrame:
         .select(*_finding(severity, "duplicate_rows", F.lit(""), F.col("duplicate_rows").cast("string")))
     )
     target = rules.target_column
-    if target in names and names.count(target) == 1:
+    if names.count(target) == 1 and rules.allowed_target_values:
         found = found.unionByName(
-            gaps.filter((F.col("column") == target) & (F.col("missing") > 0)).select(
-                *_finding("error", "missing_target", F.col("column"), F.col("missing").cast("string"))
+            unexpected_labels(df, target, rules.allowed_target_values).select(
+                *_finding("error", "unexpected_label", F.lit(target), F.col("value"))
             )
         )
-        if rules.allowed_target_values:
-            found = found.unionByName(
-                unexpected_labels(df, target, rules.allowed_target_values).select(
-                    *_finding("error", "unexpected_label", F.lit(target), F.col("value"))
+    return found
+
+
+def _counted_findings(df: DataFrame, rules: ValidationRules) -> DataFrame:
+    """Findings that follow from one aggregate of row and missing counts."""
+    names = df.columns
+    table = df.toDF(*[f"c{i}" for i in range(len(names))])
+    one = table.agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(is_missing(f)).alias(f"m{i}") for i, f in enumerate(table.schema.fields)],
+    )
+    cells = [F.when(F.col("rows") == 0, F.struct(*_finding("error", "no_rows", F.lit(""), F.lit(""))))]
+    for i, name in enumerate(names):
+        missing = F.col(f"m{i}")
+        share = F.try_divide(missing, F.col("rows"))
+        if not repeated_names(names):
+            value = F.round(share, 4).cast("string")
+            cells.append(
+                F.when(
+                    share > rules.max_missing_fraction,
+                    F.struct(*_finding("error", "missing_fraction", F.lit(name), value)),
                 )
             )
-    return found
+        if name == rules.target_column and names.count(name) == 1:
+            cells.append(
+                F.when(
+                    missing > 0,
+                    F.struct(*_finding("error", "missing_target", F.lit(name), missing.cast("string"))),
+                )
+            )
+    return one.select(F.inline(F.array_compact(F.array(*cells))))
 
 
 def _finding(severity, rule, column, value):

@@ -83,3 +83,11 @@ def settle(frame, rows: int, driver_rows: int = 50_000):
         return frame.sparkSession.createDataFrame(frame.toArrow(), schema=frame.schema)
     return cut_lineage(frame)
 
+
+def settle_any(frame, driver_rows: int = 50_000):
+    """(fixed frame, rows) of a result whose size is not known yet."""
+    head = frame.limit(driver_rows + 1).toArrow()
+    if head.num_rows <= driver_rows:
+        return frame.sparkSession.createDataFrame(head, schema=frame.schema), head.num_rows
+    fixed = cut_lineage(frame)
+    return fixed, fixed.count()

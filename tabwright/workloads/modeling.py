@@ -38,7 +38,10 @@ from tabwright.operators.split import (
     split_table,
     with_quotas,
 )
-from tabwright.session import small_table
+from tabwright.plans.inference import inference_features
+from tabwright.plans.training import build_features
+from tabwright.session import scratch_path, small_table
+from tabwright.sources.tables import read_table
 from tabwright.workloads.registry import (
     GAPS_CTE,
     SALES_CTE,
@@ -191,6 +194,32 @@ def feature_table_query(spark, sf_dir):
     )
 
 
+@query(
+    "inference_features",
+    SALES_CTE
+    + """ SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+    o_orderpriority, order_year, c_acctbal, c_mktsegment, n_name, n_regionkey,
+    CAST(isodow(o_orderdate) - 1 AS INT) AS o_orderdate_day_of_week,
+    CASE WHEN 1998 - order_year >= 0 THEN 1998 - order_year END AS order_year_age,
+    CASE WHEN c_acctbal <> 0 THEN round(o_totalprice / c_acctbal, 6) END AS price_to_balance FROM sales""",
+)
+def inference_features_query(spark, sf_dir):
+    """A stored recipe applied to rows to score: originals stay, no row is lost."""
+    manifest = {
+        "feature_build_config": SALES_RECIPE.to_manifest(),
+        "expected_feature_columns": ["order_year_age", "price_to_balance"],
+    }
+    frame, _ = inference_features(sales(spark, sf_dir), manifest)
+    return (
+        rounded(frame, "price_to_balance")
+        .withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .drop(
+            "o_orderdate_year", "o_orderdate_month", "o_orderdate_quarter",
+            "c_acctbal_log1p", "o_totalprice_log1p", "price_by_region",
+        )
+    )
+
+
 # --- splits -----------------------------------------------------------------
 SPLIT = SplitSpec(target_column="o_orderpriority", key_columns=("o_orderkey",))
 
@@ -278,6 +307,33 @@ def _feasible_sql(column):
     FROM (SELECT {column}, count(*) AS n FROM orders GROUP BY {column})"""
 
 
+@query(
+    "feature_dataset",
+    f"""WITH {quota_sql(BY_PRIORITY)},
+  ranked AS (SELECT *, row_number() OVER (
+    PARTITION BY o_orderpriority ORDER BY md5('42|' || o_orderkey)) AS place FROM orders)
+  SELECT o_orderkey, o_orderpriority, CASE WHEN place <= train THEN 'train'
+    WHEN place <= train + validation THEN 'validation' ELSE 'test' END AS split,
+    CAST(year(o_orderdate) AS INT) AS o_orderdate_year,
+    CASE WHEN o_totalprice >= 0 THEN round(ln(1 + o_totalprice), 6) END AS o_totalprice_log1p
+  FROM ranked JOIN shares ON o_orderpriority = class""",
+)
+def feature_dataset(spark, sf_dir):
+    """Features built, split and written as one partitioned table, then read back."""
+    recipe = FeatureRecipe(
+        target_column="o_orderpriority",
+        drop_columns=("o_custkey", "o_orderstatus"),
+        date_columns=("o_orderdate",),
+        log_columns=("o_totalprice",),
+    )
+    output = scratch_path(spark, "features.parquet")
+    source = f"{sf_dir.rstrip('/')}/orders.parquet"
+    build_features(spark, source, output, recipe, SplitSpec(key_columns=("o_orderkey",)))
+    return rounded(read_table(spark, output), "o_totalprice_log1p").select(
+        "o_orderkey", "o_orderpriority", "split", "o_orderdate_year", "o_totalprice_log1p"
+    )
+
+
 @query(
     "split_feasibility",
     " UNION ALL ".join(_feasible_sql(c) for c in ("o_orderpriority", "o_orderstatus", "o_custkey")),

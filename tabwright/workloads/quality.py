@@ -470,3 +470,9 @@ def rows_with_missing(spark, sf_dir):
     return incomplete_rows(trimmed_rows(dirty_customer(spark, sf_dir), SPEC))
 
 
+
+
+@query("dedupe_rare", UNIQUE_CTE + " SELECT * FROM uniq")
+def dedupe_rare(spark, sf_dir):
+    spec = CleaningSpec(rare_duplicates=True)
+    return trimmed_rows(dirty_customer(spark, sf_dir), spec)

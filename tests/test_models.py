@@ -406,3 +406,16 @@ def test_unsplit_features(spark, companies, tmp_path):
 def test_resources_pair_type(trained):
     _, run = trained
     assert isinstance(Resources(run.training.artifact, run.manifest), Resources)
+
+
+def test_scoring_after_an_observation(spark, companies):
+    """A fitted model must not drag the session into its tasks."""
+    from pyspark.sql import Observation
+
+    seen = Observation("any")
+    companies.observe(seen, F.count("*").alias("n")).count()
+    assert seen.get["n"] == 24
+    for kind in ("logistic_regression", "random_forest"):
+        spec = TrainSpec("status", model_type=kind, n_estimators=3, max_depth=3, max_iter=5)
+        artifact, _, _ = fit_model(companies.drop("company_id"), spec)
+        assert score_table(companies, artifact).frame.count() == 24

@@ -29,18 +29,6 @@ def size_in_bytes(spark, path) -> int:
     return fs.getContentSummary(p).getLength()
 
 
-def copy_tree(spark, source, destination, overwrite=False) -> None:
-    """Byte-for-byte copy of a file or folder."""
-    src, src_fs = _path(spark, source)
-    dst, dst_fs = _path(spark, destination)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    if not jvm.org.apache.hadoop.fs.FileUtil.copy(
-        src_fs, src, dst_fs, dst, False, overwrite, conf
-    ):
-        raise OSError(f"could not copy {source} to {destination}")
-
-
 def write_json(spark, payload, path, overwrite=True) -> None:
     """A small JSON document (report, manifest), indented, in UTF-8."""
     p, fs = _path(spark, path)

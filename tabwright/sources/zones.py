@@ -1,24 +1,52 @@
-"""The raw zone: unchanged copies of source files."""
+"""The raw zone: snapshots of source tables, values unchanged."""
 
 from __future__ import annotations
 
-from tabwright.sources.files import copy_tree, exists
-from tabwright.sources.tables import read_table
+from tabwright.sources.files import exists, protect_outputs
+from tabwright.sources.tables import read_table, table_format
+
+
+def snapshot(spark, source: str, destination: str, *, overwrite=False, multiline=True) -> None:
+    """Copy a table with Spark tasks, so no file passes through the driver.
+
+    JSON lines are copied as text, CSV cells as text, Parquet values as they
+    are: nothing is parsed, typed or replaced.
+    """
+    mode = "overwrite" if overwrite else "errorifexists"
+    fmt = table_format(source)
+    if fmt == "json":
+        spark.read.text(source).write.mode(mode).text(destination)
+    elif fmt == "parquet":
+        spark.read.parquet(source).write.mode(mode).parquet(destination)
+    else:
+        cells = spark.read.csv(
+            source, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline
+        )
+        cells.write.mode(mode).csv(
+            destination,
+            header=True,
+            quote='"',
+            escape='"',
+            emptyValue="",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
 
 
 def ingest(spark, source: str, raw_dir: str, *, overwrite: bool = False, **reading):
-    """Copy ``source`` unchanged into ``raw_dir`` and read it back.
+    """Snapshot ``source`` into ``raw_dir`` and read it back.
 
-    Returns (path, table). An existing copy is kept unless ``overwrite``; a table
-    without rows is rejected.
+    Returns (path, table). An existing snapshot is kept unless ``overwrite``; a
+    table without rows is rejected.
     """
     source = str(source).rstrip("/")
     if not exists(spark, source):
         raise FileNotFoundError(f"no source at {source}")
     destination = f"{str(raw_dir).rstrip('/')}/{source.rpartition('/')[2]}"
-    if exists(spark, destination) and not overwrite:
-        raise FileExistsError(f"{destination} exists already; pass overwrite=True to replace it")
-    copy_tree(spark, source, destination, overwrite)
+    protect_outputs(spark, [destination], [source], overwrite)
+    snapshot(
+        spark, source, destination, overwrite=overwrite, multiline=reading.get("multiline", True)
+    )
     table = read_table(spark, destination, **reading)
     if not table.columns or table.isEmpty():
         raise ValueError(f"{destination} holds no rows")

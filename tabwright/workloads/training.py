@@ -7,13 +7,21 @@ import functools
 from pyspark.sql import functions as F
 
 from tabwright.operators.features import FeatureRecipe, feature_table
+from tabwright.operators.preprocess import class_weights
 from tabwright.operators.quantiles import exact_medians
-from tabwright.operators.score import probability_names
-from tabwright.operators.split import SplitSpec
+from tabwright.operators.score import probability_names, probability_table, score_table
+from tabwright.operators.split import SplitSpec, class_counts
 from tabwright.operators.train import TrainSpec, fit_model
-from tabwright.plans.inference import Resources, load_resources, run_inference, score_with_recipe
+from tabwright.plans.inference import (
+    Resources,
+    inference_features,
+    load_resources,
+    run_inference,
+    score_path,
+    score_with_recipe,
+)
 from tabwright.plans.manifest import manifest_record
-from tabwright.plans.training import TrainingPaths, run_training, train_table
+from tabwright.plans.training import TrainingPaths, evaluate_path, run_training, train_table
 from tabwright.session import scratch_path, small_table
 from tabwright.sources.tables import read_table, write_table
 from tabwright.streaming import score_stream
@@ -167,15 +175,68 @@ def score_stage_auto(spark, sf_dir):
     )
 
 
-@query("evaluate_model")
+@query(
+    "evaluate_model",
+    """SELECT CAST(count(o_orderstatus) AS BIGINT) AS evaluated_rows,
+    CAST(count(*) - count(o_orderstatus) AS BIGINT) AS dropped_target_rows,
+    CAST(count(o_orderstatus) AS BIGINT) AS confusion_total,
+    CAST(count(DISTINCT o_orderstatus) AS BIGINT) AS classes
+    FROM (SELECT CASE WHEN o_orderkey % 10 <> 3 THEN o_orderstatus END AS o_orderstatus FROM orders)""",
+)
 def evaluate_model(spark, sf_dir):
-    """The stored model on every row."""
+    """The stored model on stored features, some rows without a target."""
     paths, _ = _trained(spark, sf_dir)
     resources = load_resources(spark, paths.model, paths.manifest)
-    df = sales(spark, sf_dir)
-    result = score_with_recipe(df, resources)
-    agree = F.avg((F.col("o_orderstatus") == F.col(result.prediction_column)).cast("double"))
-    return result.frame.agg(F.count("*").alias("rows"), agree.alias("accuracy"))
+    target = F.when(F.col("o_orderkey") % 10 != 3, F.col("o_orderstatus"))
+    frame, _ = inference_features(sales(spark, sf_dir), resources.manifest)
+    base = scratch_path(spark, "evaluation")
+    write_table(frame.withColumn("o_orderstatus", target), f"{base}/rows.parquet")
+    done = evaluate_path(spark, f"{base}/rows.parquet", paths.model, f"{base}/report.json")
+    cells = done["metrics"]["confusion_matrix"]
+    row = (done["evaluated_rows"], done["dropped_target_rows"], sum(map(sum, cells)), len(cells))
+    return small_table(
+        spark,
+        [row],
+        "evaluated_rows bigint, dropped_target_rows bigint, confusion_total bigint, classes bigint",
+    )
+
+
+@query(
+    "train_lr_optimum",
+    """SELECT o_orderpriority AS class, round(1.0::DOUBLE / count(*) OVER (), 3) AS weighted_share
+    FROM orders GROUP BY o_orderpriority""",
+)
+def train_lr_optimum(spark, sf_dir):
+    """At the optimum the gradient of every free intercept is zero: with balanced
+    weights the weighted mean probability of each of k classes is 1/k."""
+    rows = _features(spark, sf_dir)
+    artifact, total, _ = fit_model(rows, TrainSpec("o_orderpriority", tolerance=1e-9))
+    scored = score_table(rows, artifact)
+    weights = class_weights(class_counts(rows, "o_orderpriority"))
+    weighted = scored.frame.join(
+        F.broadcast(weights), F.col("o_orderpriority") == F.col("class")
+    ).drop("class")
+    long = probability_table(weighted, ["weight"], scored.probability_columns, artifact.classes)
+    return long.groupBy("class").agg(
+        F.round(F.sum(F.col("weight") * F.col("probability")) / total, 3).alias("weighted_share")
+    )
+
+
+@query(
+    "score_file",
+    "SELECT o_orderkey, 1.0::DOUBLE AS total, true AS most_likely FROM orders",
+)
+def score_file(spark, sf_dir):
+    """A stored feature table scored with a stored model into a stored table."""
+    paths, run = _trained(spark, sf_dir)
+    frame, _ = inference_features(sales(spark, sf_dir), run.manifest)
+    base = scratch_path(spark, "scoring")
+    write_table(frame, f"{base}/features.parquet")
+    result = score_path(spark, f"{base}/features.parquet", paths.model, f"{base}/scored.parquet")
+    return _probability_check(
+        read_table(spark, f"{base}/scored.parquet"), result.prediction_column,
+        result.probability_columns, run.training.artifact.classes, "o_orderkey",
+    )
 
 
 @query("stream_score", "SELECT event_id, event_type, 1.0::DOUBLE AS total, true AS most_likely FROM events")

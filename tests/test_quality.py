@@ -230,9 +230,13 @@ def test_formats():
 
 def test_ingest(spark, tmp_path):
     source = tmp_path / "t.csv"
-    source.write_text("a,b\n1,x\n")
+    source.write_text('a,b\n 007,"x ""y"""\nNA,\n', encoding="utf-8")
     path, df = ingest(spark, str(source), str(tmp_path / "raw"))
-    assert df.count() == 1 and (tmp_path / "raw" / "t.csv").read_bytes() == source.read_bytes()
+    assert df.count() == 2
+    text = [line for part in (tmp_path / "raw" / "t.csv").glob("part*") for line in part.read_text().splitlines()]
+    assert text == ["a,b", ' 007,"x ""y"""', "NA,"]
+    (tmp_path / "t.json").write_text('{"a": 1.50}\n', encoding="utf-8")
+    assert ingest(spark, str(tmp_path / "t.json"), str(tmp_path / "raw"))[1].first()["a"] == 1.5
     with pytest.raises(FileExistsError):
         ingest(spark, str(source), str(tmp_path / "raw"))
     ingest(spark, str(source), str(tmp_path / "raw"), overwrite=True)

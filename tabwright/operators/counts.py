@@ -42,19 +42,6 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
     return long_form(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
-def unpivot_row(one_row: DataFrame, columns, value_type="bigint", names=("column", "value")):
-    """Turn a one-row aggregate into (column, value) rows without a shuffle."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias(names[0]), quoted(source).cast(value_type).alias(names[1])
-            )
-            for label, source in columns
-        ]
-    )
-    return one_row.select(F.inline(pairs))
-
-
 def is_missing(field: T.StructField):
     c = quoted(field.name)
     if isinstance(field.dataType, FLOATING):

@@ -110,11 +110,12 @@ def category_profile(df: DataFrame, columns, limit: int) -> DataFrame:
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
-    """(column, missing, percent) of columns with gaps."""
+    """(column, missing, percent) of columns with gaps, fewest first."""
     return (
         missing_counts(df)
         .filter("missing > 0")
         .select("column", "missing", (F.col("fraction") * 100).alias("percent"))
+        .orderBy("missing", "column")
     )
 
 

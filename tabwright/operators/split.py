@@ -16,7 +16,7 @@ and the keys, whatever the partitioning.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -357,7 +357,11 @@ def _assign(df, spec, class_value, key_columns, cuts, classes) -> DataFrame:
     )
 
 
-RESERVED = ("split", "h", "h1", "h2", "cut_class", "tie_group", "copies", "piece", "place")
+# Names used while splitting; columns that have them are renamed meanwhile.
+RESERVED = (
+    "h", "h1", "h2", "spare1", "spare2", "taken1", "taken2",
+    "cut_class", "tie_group", "copies", "piece", "place",
+)
 
 
 def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
@@ -366,10 +370,11 @@ def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
     Three passes; the first two read keys and target only, and the table itself
     is never shuffled. Rows without a class value form a class of their own.
     """
-    taken = sorted(set(RESERVED) & set(df.columns))
-    if taken:
-        raise ValueError(f"rename these columns before splitting: {taken}")
+    if "split" in df.columns:
+        raise ValueError("the table already has a column named split")
     require_columns(df, spec.key_columns, "split keys")
+    if set(RESERVED) & set(df.columns):
+        return _split_renamed(df, spec)
     warning = None
     target = spec.target_column if spec.stratify else None
     if target is not None:
@@ -381,13 +386,13 @@ def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
         )
         groups = _prefix_counts(hashed, PREFIX).persist()
         per_class = groups.groupBy("class").agg(F.sum("n").alias("n"))
-        head = [r["n"] for r in per_class.limit(FEW_ENOUGH + 1).collect()]
-        if len(head) <= FEW_ENOUGH:
-            state = (sum(head), len(head), min(head, default=0))
+        head = per_class.limit(FEW_ENOUGH + 1).toArrow()
+        if head.num_rows <= FEW_ENOUGH:
+            sizes = head.column("n").to_pylist()
+            state = (sum(sizes), len(sizes), min(sizes, default=0))
+            per_class = df.sparkSession.createDataFrame(head, schema=per_class.schema)
         else:
-            state = tuple(
-                per_class.agg(F.sum("n"), F.count("*"), F.min("n")).first()
-            )
+            state = tuple(per_class.agg(F.sum("n"), F.count("*"), F.min("n")).first())
         return hashed, groups, per_class, *state
 
     class_value = quoted(target) if target else F.lit("all rows")
@@ -413,6 +418,21 @@ def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
     return SplitResult(frame, quotas, warning)
 
 
+def _split_renamed(df: DataFrame, spec: SplitSpec) -> SplitResult:
+    held = {c: f"tw_{c}_held" for c in df.columns if c in RESERVED}
+    inner = replace(
+        spec,
+        target_column=held.get(spec.target_column, spec.target_column),
+        key_columns=tuple(held.get(c, c) for c in spec.key_columns),
+    )
+    result = split_table(df.withColumnsRenamed(held), inner)
+    warning = result.warning
+    if warning and spec.target_column in held:
+        warning = warning.replace(held[spec.target_column], spec.target_column)
+    back = {new: old for old, new in held.items()}
+    return SplitResult(result.frame.withColumnsRenamed(back), result.quotas, warning)
+
+
 def no_classes_reason(rows: int, classes: int, smallest: int, splits: int) -> str:
     """Why classes cannot be used, or '' when they can."""
     if classes < 2:

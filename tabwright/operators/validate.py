@@ -11,7 +11,7 @@ from tabwright.errors import ValidationFailure
 from tabwright.functions import strip_text
 from tabwright.operators.counts import as_text, is_missing, missing_counts
 from tabwright.operators.duplicates import duplicate_count
-from tabwright.operators.schema import header_problems, quoted, repeated_names
+from tabwright.operators.schema import header_problems, repeated_names
 from tabwright.session import small_table
 
 FINDINGS = "severity string, rule string, column string, value string"

@@ -43,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", "")
+    configured = spark.conf.get("spark.checkpoint.dir", "")
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")

@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",

@@ -185,6 +185,17 @@ def test_hot_keys_and_copies_get_exact_quotas(spark, monkeypatch, keys, group_ro
     assert as_set(split_table(df.repartition(13), spec).frame) == as_set(first)
 
 
+def test_any_column_name_but_split(spark):
+    df = spark.range(60).select(F.col("id").alias("h"), (F.col("id") % 2).alias("place"), F.lit(1).alias("copies"))
+    result = split_table(df, SplitSpec(target_column="place", key_columns=("h",)))
+    assert result.frame.columns == ["h", "place", "copies", "split"]
+    plain = split_table(df.toDF("a", "b", "c"), SplitSpec(target_column="b", key_columns=("a",)))
+    assert as_set(result.frame) == as_set(plain.frame)
+    assert "h looks" in split_table(df, SplitSpec(target_column="h", key_columns=("h",))).warning
+    with pytest.raises(ValueError, match="named split"):
+        split_table(df.withColumn("split", F.lit(1)), SplitSpec())
+
+
 def test_fallbacks(spark):
     df = spark.range(100).withColumn("one", F.lit("a")).withColumn("rare", F.when(F.col("id") < 2, "r").otherwise("s"))
     spec = dict(key_columns=("id",))

@@ -18,7 +18,7 @@ from tabwright.functions import DEFAULT_DATE_FORMATS, date_parts, parse_timestam
 from tabwright.operators.counts import is_missing
 from tabwright.operators.schema import header_problems, quoted
 
-# Recipe fields a manifest stores.
+# Recipe fields a manifest stores.
 RECIPE_FIELDS = (
     "drop_columns",
     "date_columns",

@@ -227,9 +227,14 @@ def correlations(df: DataFrame, columns) -> DataFrame:
         n, sx, qx, x_varies = over(i, x, j)
         _, sy, qy, y_varies = over(j, y, i)
         cross = total((i, j, "xy"), F.sum(x * y))
-        spread = F.sqrt((qx - sx * sx / n) * (qy - sy * sy / n))
+        zero = F.lit(0.0)
+        spread = F.sqrt(F.greatest(qx - sx * sx / n, zero)) * F.sqrt(
+            F.greatest(qy - sy * sy / n, zero)
+        )
         r = F.lit(1.0) if i == j else F.try_divide(cross - sx * sy / n, spread)
-        return F.when(x_varies & y_varies, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+        # infinite values leave no defined correlation
+        sound = x_varies & y_varies & ~F.isnan(spread)
+        return F.when(sound, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
 
     cells = []
     for i, a in enumerate(columns):

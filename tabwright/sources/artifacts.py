@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tabwright.errors import ArtifactError
 from tabwright.sources.files import exists, read_json, write_json
 
+# --- fixed values: the model description format ------------------------------
 ARTIFACT_VERSION = 1
 REQUIRED = (
     "artifact_version",

@@ -70,6 +70,14 @@ def test_correlation(spark):
     assert got[("a", "d")] == 1.0
 
 
+def test_correlation_with_infinite_values_is_missing(spark):
+    rows = [(1.0, 2.0, float("inf")), (2.0, 1.0, 1.0), (4.0, 9.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r["left"], r["right"]): r["correlation"] for r in correlations(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "c")] is None and got[("c", "c")] is None
+    assert math.isclose(got[("a", "b")], np.corrcoef([1, 2, 4], [2, 1, 9])[0, 1], rel_tol=1e-12)
+
+
 def test_describe(spark):
     r = describe_numbers(frame(spark, [1, 2, 3, 4, None]), ["x"]).first()
     assert (r["n"], r["mean"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (4, 2.5, 1.0, 1.75, 2.5, 3.25, 4.0)

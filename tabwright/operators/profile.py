@@ -228,8 +228,8 @@ def correlations(df: DataFrame, columns) -> DataFrame:
         _, sy, qy, y_varies = over(j, y, i)
         cross = total((i, j, "xy"), F.sum(x * y))
         zero = F.lit(0.0)
-        spread = F.sqrt(F.greatest(qx - sx * sx / n, zero)) * F.sqrt(
-            F.greatest(qy - sy * sy / n, zero)
+        spread = F.sqrt(
+            F.greatest(qx - sx * sx / n, zero) * F.greatest(qy - sy * sy / n, zero)
         )
         r = F.lit(1.0) if i == j else F.try_divide(cross - sx * sy / n, spread)
         # infinite values leave no defined correlation

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lengths, packing, simhash
+from . import lengths, linecrf, lzprint, packing, simhash
 from .common import read_table
 
 QUERIES = {}
@@ -30,3 +30,16 @@ def op8_best_fit_packing(spark, sf_dir):
 def op10_simhash_components(spark, sf_dir):
     """SimHash of every document and the least id among its linked documents."""
     return simhash.near_duplicate_components(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    """Quality score of every document from a conditional random field over its lines."""
+    docs = read_table(spark, sf_dir, "documents")
+    return linecrf.quality_report(docs, read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_document_fingerprints(spark, sf_dir):
+    """Phrase fingerprints of every document and of its edited text."""
+    return lzprint.fingerprint_report(read_table(spark, sf_dir, "documents"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lengths, linecrf, lzprint, packing, simhash
+from . import lengths, licences, linecrf, lzprint, packing, rules, simhash, sql
 from .common import read_table
 
 QUERIES = {}
@@ -43,3 +43,21 @@ def op7_quality_classifier(spark, sf_dir):
 def op3_document_fingerprints(spark, sf_dir):
     """Phrase fingerprints of every document and of its edited text."""
     return lzprint.fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quality_rules(spark, sf_dir):
+    """Counts of every document and the verdict of base rule and adaptive thresholds."""
+    return rules.rule_report(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_quality_rules"] = sql.rules_sql()
+
+
+@query
+def op6_license_scans(spark, sf_dir):
+    """Every licence template found in every document."""
+    return licences.licence_matches(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_license_scans"] = sql.licences_sql()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lengths, licences, linecrf, lzprint, packing, rules, simhash, sql
+from . import lengths, licences, linecrf, lzprint, packing, rules, simhash, sql, unigram
 from .common import read_table
 
 QUERIES = {}
@@ -61,3 +61,9 @@ def op6_license_scans(spark, sf_dir):
 
 
 ORACLES["op6_license_scans"] = sql.licences_sql()
+
+
+@query
+def op5_sentencepiece(spark, sf_dir):
+    """Unigram pieces of every document: counts, score, checksums and decoding."""
+    return unigram.encode_documents(read_table(spark, sf_dir, "documents"))

@@ -28,17 +28,16 @@ def build_double_array(keys: list[bytes]):
     base, check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
     value = np.full(size, -1, np.int64)
     check[0] = 0
-    free_from, wide_from = 1, 1
+    single_from, wide_from = 257, 257  # every byte value lies below
 
     def place(codes: np.ndarray, start: int) -> int:
         """The first offset at or after ``start`` at which all of ``codes`` are free."""
         if len(codes) == 1:
-            while check[start] >= 0 or start <= codes[0]:
+            while check[start] >= 0:
                 start += 1
             return start - int(codes[0])
         while True:
             block = start + np.flatnonzero(check[start : start + 128] < 0) - codes[0]
-            block = block[block > 0]
             fits = (check[block[:, None] + codes] < 0).all(axis=1)
             if fits.any():
                 return int(block[np.argmax(fits)])
@@ -57,13 +56,14 @@ def build_double_array(keys: list[bytes]):
                 i for i in range(low + 1, high) if keys[i][depth] != keys[i - 1][depth]
             ]
             codes = np.array([keys[i][depth] for i in heads])
-            at = place(codes, free_from if len(codes) == 1 else wide_from)
-            if len(codes) > 1:
+            if len(codes) == 1:
+                at = place(codes, single_from)
+                single_from = at + int(codes[0])
+            else:
+                at = place(codes, wide_from)
                 wide_from = max(wide_from, at + int(codes[0]) - 64)
             base[state] = at
             check[at + codes] = state
-            while check[free_from] >= 0:
-                free_from += 1
             ends = [*heads[1:], high]
             following += [
                 (at + int(c), a, b, depth + 1) for c, a, b in zip(codes, heads, ends)

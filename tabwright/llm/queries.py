@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lengths, licences, linecrf, lzprint, packing, rules, simhash, sql, unigram
+from . import lengths, licences, linecrf, lzprint, packing, rules, simhash, sql, suffixes, unigram
 from .common import read_table
 
 QUERIES = {}
@@ -67,3 +67,9 @@ ORACLES["op6_license_scans"] = sql.licences_sql()
 def op5_sentencepiece(spark, sf_dir):
     """Unigram pieces of every document: counts, score, checksums and decoding."""
     return unigram.encode_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_suffix_array_dedup(spark, sf_dir):
+    """Bytes of every document covered by 100-byte strings that also start earlier."""
+    return suffixes.removal_report(read_table(spark, sf_dir, "documents"))

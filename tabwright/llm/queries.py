@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lengths, licences, linecrf, lzprint, packing, rules, simhash, sql, suffixes, unigram
+from . import lengths, licences, linecrf, lzprint, packing, pitman, rules, simhash, sql, suffixes, unigram
 from .common import read_table
 
 QUERIES = {}
@@ -73,3 +73,9 @@ def op5_sentencepiece(spark, sf_dir):
 def op2_suffix_array_dedup(spark, sf_dir):
     """Bytes of every document covered by 100-byte strings that also start earlier."""
     return suffixes.removal_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_lm_scoring(spark, sf_dir):
+    """Score of every document under a hierarchical Pitman-Yor model of the corpus."""
+    return pitman.score_report(read_table(spark, sf_dir, "documents"))

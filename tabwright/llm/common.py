@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.operators.schema import quoted
+
 #: Fixed value: what separates words in every contract of this subpackage.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -15,6 +17,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_columns(docs: DataFrame, *without: str):
+    """All columns of a table, whatever characters their names hold."""
+    return [quoted(c) for c in docs.columns if c not in without]
+
+
 def id_and_bytes(docs: DataFrame) -> DataFrame:
     """(doc_id, body): the id and the text as UTF-8 bytes; a null text is empty."""
     return docs.select(

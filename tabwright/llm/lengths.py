@@ -59,19 +59,18 @@ def limit_table(histogram: DataFrame, block: int = 1024) -> DataFrame:
         .orderBy(F.desc("n_tokens"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = rows.agg(F.sum("n_docs").alias("all_docs"), F.sum("tokens").alias("all_tokens"))
+    all_docs, all_tokens = rows.agg(F.sum("n_docs"), F.sum("tokens")).head()
     return (
         rows.withColumn("d", F.sum("n_docs").over(own))
         .withColumn("t", F.sum("tokens").over(own))
         .join(blocks, "block")
-        .join(F.broadcast(totals))  # one row
         .select(
             F.col("n_tokens").alias("context_limit"),
             "n_docs",
             (F.col("d") + F.col("docs_after")).alias("docs_at_least"),
             (F.col("t") + F.col("tokens_after")).alias("tokens_at_least"),
-            "all_docs",
-            "all_tokens",
+            F.lit(all_docs).cast("long").alias("all_docs"),
+            F.lit(all_tokens).cast("long").alias("all_tokens"),
         )
         .withColumn(
             "truncated_tokens",

@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.session import small_table
 
-from .common import mix64, record_batch, slices
+from .common import mix64, own_columns, record_batch, slices
 
 #: Multiplier of the polynomial word and line hashes; odd, so it can be undone modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
@@ -310,17 +311,17 @@ def score_quality(docs: DataFrame, model: LineModel, column: str = "score") -> D
     column of that name is replaced.
     """
     kept = docs.drop(column)
-    at = kept.columns.index("text")
-    out = kept.withColumn(column, F.lit(0.0))
+    rows = kept.select(F.struct(*own_columns(kept)).alias("own"), F.lit(0.0).alias("score"))
 
     def run(batches):
         for part in slices(batches):
-            bodies = part.column(at).cast(pa.binary()).fill_null(b"").to_pylist()
+            texts = pc.struct_field(part.column(0), "text")
+            bodies = texts.cast(pa.binary()).fill_null(b"").to_pylist()
             score = model.score(*line_features(bodies), len(bodies))
-            columns = [*part.columns[:-1], pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], names=["own", "score"])
 
-    return out.mapInArrow(run, out.schema)
+    scored = rows.mapInArrow(run, rows.schema)
+    return scored.select("own.*", F.col("score").alias(column))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -338,4 +339,4 @@ def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents whose score reaches ``threshold``, with their own columns alone."""
     scored = score_quality(docs.drop("quality_score"), fit_quality(docs, labels), "quality_score")
-    return scored.filter(F.col("quality_score") >= threshold).select(docs.columns)
+    return scored.filter(F.col("quality_score") >= threshold).select(*own_columns(docs))

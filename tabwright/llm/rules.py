@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabwright.session import cut_lineage
 
-from .common import SPACE
+from .common import SPACE, own_columns
 
 #: Fixed value: the same characters as ``SPACE``, for trimming.
 BLANKS = " \t\n\r\x0b\x0c"
@@ -62,7 +62,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     A null text has no words; null languages and sources form groups of their own.
     """
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(F.struct(*own_columns(docs)).alias("row"))
     rows = rows.select(
         "row", F.col("row.lang").alias("lang"), F.col("row.source").alias("source"), text.alias("t")
     )
@@ -202,12 +202,14 @@ def fences(sketch: DataFrame, spec: RuleSpec = RuleSpec()) -> DataFrame:
     at = lambda n, alias: by_level.filter(F.col("level") == n).select(
         F.col("lang").alias(f"lang{n}"), F.col("source").alias(f"source{n}"), F.struct("total", *names).alias(alias)
     )
-    own, language, whole = at(2, "own"), at(1, "language"), at(0, "whole")
-    joined = own.join(language, F.col("lang2").eqNullSafe(F.col("lang1"))).join(F.broadcast(whole))
+    own, language = at(2, "own"), at(1, "language")
+    whole = by_level.filter("level = 0").select("total", *names).head() or [None] * (1 + len(names))
+    whole = F.struct(*(F.lit(v).cast("bigint").alias(c) for c, v in zip(["total", *names], whole)))
+    joined = own.join(language, F.col("lang2").eqNullSafe(F.col("lang1")))
     best = (
         F.when(F.col("own.total") >= spec.least_group, F.col("own"))
         .when(F.col("language.total") >= spec.least_group, F.col("language"))
-        .otherwise(F.col("whole"))
+        .otherwise(whole)
     )
     return joined.select(
         F.col("lang2").alias("fence_lang"), F.col("source2").alias("fence_source"), best.alias("best")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabwright.session import cut_lineage
 
-from .common import id_and_bytes, record_batch, shuffle_partitions, slices
+from .common import id_and_bytes, own_columns, record_batch, shuffle_partitions, slices
 from .components import component_labels
 
 #: Segments of a 64-bit fingerprint as (first bit, bits, radius). Two fingerprints that
@@ -305,4 +305,4 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFr
     once = docs.join(kept.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
     again = docs.join(kept.filter("n > 1").select("doc_id"), "doc_id", "left_semi")
     out = once.union(again.dropDuplicates(["doc_id"]))
-    return out.union(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
+    return out.union(docs.filter(F.col("doc_id").isNull())).select(*own_columns(docs))

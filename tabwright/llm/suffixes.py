@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tabwright.operators.rownum import number_rows
 from tabwright.session import cut_lineage, scratch_path
 
-from .common import record_batch, shuffle_partitions, slices
+from .common import own_columns, record_batch, shuffle_partitions, slices
 from .linecrf import SpanHasher
 
 LENGTH = 100
@@ -350,11 +350,10 @@ def _placed(docs: DataFrame) -> DataFrame:
     documents are sorted by id (nulls last), then text, and numbered into a table in the
     shared folder.
     """
-    others = [c for c in docs.columns if c != "text"]
     rows = docs.select(
         docs["doc_id"].cast("long").alias("place"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary").alias("body"),
-        F.struct(*[docs[c] for c in others]).alias("rest"),
+        F.struct(*own_columns(docs, "text")).alias("rest"),
     )
     ids = rows.groupBy("place").agg(F.count("*").alias("n"))
     if ids.filter("place is null or n > 1").head(1):

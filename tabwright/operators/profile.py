@@ -21,20 +21,28 @@ from tabwright.session import small_table
 
 @dataclass(frozen=True)
 class ProfileSpec:
+    """Limits on the number of profiled columns are off unless given. Categorical columns
+    that look like identifiers (by name, or with more than ``identifier_values`` distinct
+    values that exceed ``identifier_share`` of the rows, counted exactly) are left out of
+    the automatic choice unless ``keep_identifiers``."""
+
     target_column: str | None = None
     numeric_columns: tuple = ()
     categorical_columns: tuple = ()
-    max_numeric_columns: int = 12
-    max_categorical_columns: int = 6
+    max_numeric_columns: int | None = None
+    max_categorical_columns: int | None = None
     max_categories: int = 12
     histogram_bins: int = 30
+    keep_identifiers: bool = False
+    identifier_values: int = 60
+    identifier_share: float = 0.5
 
     def __post_init__(self):
         limits = (
             self.max_numeric_columns, self.max_categorical_columns,
             self.max_categories, self.histogram_bins,
         )
-        if min(limits) < 1:
+        if min(n for n in limits if n is not None) < 1:
             raise ValueError("profile limits must be positive")
 
 
@@ -53,25 +61,13 @@ def wide_categories(df: DataFrame, columns, above: float, share: float = 0.5) ->
     """{column: distinct} for columns with more than ``above`` distinct values
     that also exceed ``share`` of the rows.
 
-    A sketch with a standard error of 5 % rules out columns below half of either
-    limit in one pass; all others are counted exactly.
+    All columns are counted exactly, by one grouping in long form.
     """
     if not columns:
         return {}
-    seen = df.agg(
-        F.count("*").alias("rows"),
-        *[F.approx_count_distinct(quoted(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)],
-    ).first()
-    rows = seen["rows"]
-    near = [
-        c
-        for i, c in enumerate(columns)
-        if seen[f"d{i}"] > 0.5 * above and seen[f"d{i}"] > 0.5 * share * rows
-    ]
-    if not near:
-        return {}
-    exact = {r["column"]: r["n_distinct"] for r in distinct_counts(df, near).collect()}
-    return {c: exact[c] for c in near if exact.get(c, 0) > above and exact[c] > share * rows}
+    rows = df.count()
+    exact = {r["column"]: r["n_distinct"] for r in distinct_counts(df, columns).collect()}
+    return {c: exact[c] for c in columns if exact.get(c, 0) > above and exact[c] > share * rows}
 
 
 def choose_columns(df: DataFrame, spec: ProfileSpec):
@@ -86,8 +82,8 @@ def choose_columns(df: DataFrame, spec: ProfileSpec):
     if spec.categorical_columns:
         require_columns(df, spec.categorical_columns, "category profiles")
         categorical = list(spec.categorical_columns)
-    else:
-        wide = wide_categories(df, categorical, spec.max_categories * 5)
+    elif not spec.keep_identifiers:
+        wide = wide_categories(df, categorical, spec.identifier_values, spec.identifier_share)
         skipped = [c for c in categorical if identifier_like(c) or c in wide]
         warnings += [f"{c} looks like an identifier and is not profiled" for c in skipped]
         categorical = [c for c in categorical if c not in skipped]
@@ -95,7 +91,7 @@ def choose_columns(df: DataFrame, spec: ProfileSpec):
         ("numeric", numeric, spec.max_numeric_columns),
         ("categorical", categorical, spec.max_categorical_columns),
     ):
-        if len(names) > most:
+        if most is not None and len(names) > most:
             warnings.append(f"{len(names)} {kind} columns; the first {most} are profiled")
             del names[most:]
     return numeric, categorical, warnings

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain, count
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -22,16 +23,16 @@ class ScoreResult:
 
 
 def probability_names(classes, used) -> list:
-    """``probability_<label>`` per class; a taken name gets _2, _3, …"""
-    used, names = set(used), []
-    for label in classes:
-        base = f"probability_{safe_label(label)}"
-        name, k = base, 2
-        while name in used:
-            name, k = f"{base}_{k}", k + 1
-        used.add(name)
-        names.append(name)
-    return names
+    """``probability_<label>`` per class; a taken name gets the next free number from 2."""
+    taken = set(used)
+
+    def free(base: str) -> str:
+        numbered = chain([base], (f"{base}_{k}" for k in count(2)))
+        name = next(n for n in numbered if n not in taken)
+        taken.add(name)
+        return name
+
+    return [free(f"probability_{safe_label(label)}") for label in classes]
 
 
 def score_table(

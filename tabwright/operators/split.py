@@ -44,6 +44,10 @@ COPIES_PER_TASK = 1_000_000
 
 @dataclass(frozen=True)
 class SplitSpec:
+    """``most_classes``: classes a target may have (None: ``class_limit`` of the rows).
+    ``fallback``: what follows when classes cannot be used, ``random`` (split without
+    classes, with a warning) or ``error``."""
+
     train: float = 0.70
     validation: float = 0.15
     test: float = 0.15
@@ -51,8 +55,12 @@ class SplitSpec:
     target_column: str | None = None
     stratify: bool = True
     key_columns: tuple = ()
+    most_classes: int | None = None
+    fallback: str = "random"
 
     def __post_init__(self):
+        if self.fallback not in ("random", "error"):
+            raise ValueError("the fallback of a split is 'random' or 'error'")
         if min(self.fractions) < 0:
             raise ValueError("split fractions must not be negative")
         if not math.isclose(sum(self.fractions), 1.0, rel_tol=1e-5, abs_tol=1e-8):
@@ -128,10 +136,18 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
 
 
 def row_hash(df: DataFrame, seed: int, key_columns=()):
-    """md5 of ``seed|key|key…``; all columns when no keys are given."""
+    """md5 of ``seed|`` and the keys' texts; all columns when no keys are given.
+
+    Each text is preceded by its length and a colon, a missing one is a dash, so
+    different rows never have the same text to hash.
+    """
     keys = list(key_columns) or df.columns
     fields = {f.name: f for f in df.schema.fields}
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[as_text(fields[k]) for k in keys]))
+    texts = [as_text(fields[k]) for k in keys]
+    marked = [
+        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts
+    ]
+    return F.md5(F.concat(F.lit(f"{seed}|"), *marked))
 
 
 def _long_places(places: DataFrame) -> DataFrame:
@@ -279,15 +295,22 @@ def _has_ties(cuts: DataFrame) -> bool:
 
 
 def _place_copies(tied: DataFrame, columns) -> DataFrame:
-    """Split identical rows that share the hash at a cut.
+    """Split the rows that share the hash at a cut.
 
     The copies are counted first, so a group that holds a third of the table
-    shrinks in the map tasks, and are written out again in bounded pieces.
+    shrinks in the map tasks, and are written out again in bounded pieces. Should
+    different rows share a hash, each is placed after the copies of those before it.
     """
-    marks = ["h", "h1", "h2", "taken1", "taken2"]
+    marks = ["cut_class", "h", "h1", "h2", "taken1", "taken2"]
     counted = tied.groupBy(*[quoted(c) for c in columns], *marks).agg(
         F.count("*").alias("copies")
     )
+    earlier = (
+        Window.partitionBy("cut_class", "h")
+        .orderBy(*[quoted(c) for c in columns])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counted = counted.withColumn("before", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
     pieces = counted.withColumn(
         "piece",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {COPIES_PER_TASK}"))),
@@ -295,7 +318,7 @@ def _place_copies(tied: DataFrame, columns) -> DataFrame:
     first = F.col("piece") * F.lit(COPIES_PER_TASK)
     last = F.least(first + COPIES_PER_TASK, F.col("copies")) - 1
     return pieces.withColumn("place", F.explode(F.sequence(first, last))).select(
-        *[quoted(c) for c in columns], _side(F.col("h"), F.col("place"))
+        *[quoted(c) for c in columns], _side(F.col("h"), F.col("before") + F.col("place"))
     )
 
 
@@ -360,7 +383,7 @@ def _assign(df, spec, class_value, key_columns, cuts, classes) -> DataFrame:
 # Names used while splitting; columns that have them are renamed meanwhile.
 RESERVED = (
     "h", "h1", "h2", "spare1", "spare2", "taken1", "taken2",
-    "cut_class", "tie_group", "copies", "piece", "place",
+    "cut_class", "tie_group", "copies", "piece", "place", "before",
 )
 
 
@@ -398,7 +421,9 @@ def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
     class_value = quoted(target) if target else F.lit("all rows")
     hashed, groups, per_class, rows, classes, smallest = first_pass(class_value)
     if target is not None:
-        reason = no_classes_reason(rows, classes, smallest, spec.active)
+        reason = no_classes_reason(rows, classes, smallest, spec.active, spec.most_classes)
+        if reason and spec.fallback == "error":
+            raise ValueError(REASONS[reason].format(target=target).partition(";")[0])
         if reason:
             warning = REASONS[reason].format(target=target)
             groups.unpersist()
@@ -433,11 +458,11 @@ def _split_renamed(df: DataFrame, spec: SplitSpec) -> SplitResult:
     return SplitResult(result.frame.withColumnsRenamed(back), result.quotas, warning)
 
 
-def no_classes_reason(rows: int, classes: int, smallest: int, splits: int) -> str:
+def no_classes_reason(rows: int, classes: int, smallest: int, splits: int, most=None) -> str:
     """Why classes cannot be used, or '' when they can."""
     if classes < 2:
         return "few_classes"
-    if classes > max(20, math.isqrt(rows)):
+    if classes > (max(20, math.isqrt(rows)) if most is None else most):
         return "many_classes"
     return "small_class" if smallest < splits else ""
 

@@ -34,6 +34,8 @@ class TrainSpec:
     max_iter: int = 2000
     n_estimators: int = 300
     max_depth: int = DEEPEST
+    max_bins: int = 32
+    most_coefficients: int = 20_000_000
     class_weight: str | None = "balanced"
     inverse_regularization: float = 1.0
     tolerance: float = 1e-6
@@ -133,6 +135,7 @@ def fit_model(train: DataFrame, spec: TrainSpec):
             **columns,
             numTrees=spec.n_estimators,
             maxDepth=spec.max_depth,
+            maxBins=spec.max_bins,
             featureSubsetStrategy="sqrt",
             minInstancesPerNode=1,
             seed=spec.seed,

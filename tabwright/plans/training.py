@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabwright.operators.features import FeaturePlan, FeatureRecipe
@@ -58,7 +58,12 @@ def build_features(
         totals = result.quotas.agg(*[F.sum(s).alias(s) for s in SPLITS]).first()
         sizes = {s: totals[s] for s, f in zip(SPLITS, spec.fractions) if f > 0}
         frame, by = result.frame, ("split",)
+    written = Observation("written")
+    if by:
+        frame = frame.observe(written, *[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
     write_table(frame, output, overwrite=overwrite, partition_by=by, allowed=("csv", "parquet"))
+    if by and {s: n for s, n in written.get.items() if n} != {s: n for s, n in sizes.items() if n}:
+        raise RuntimeError(f"rows written per split {written.get} are not the quotas {sizes}")
     report = FeatureBuild(
         output, tuple(plan.engineered), counts["input_rows"], kept, dropped, sizes, tuple(warnings)
     )

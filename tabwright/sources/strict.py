@@ -136,7 +136,7 @@ def as_scoring_input(df: DataFrame, spec: StrictSpec) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
-def read_strict_csv(spark, path: str, spec: StrictSpec, *, multiline: bool = True):
+def read_strict_csv(spark, path: str, spec: StrictSpec, *, multiline: bool = False):
     """(table, warnings) of a CSV that meets ``spec``; else StrictInputError
     naming every broken rule with example line numbers (header = line 1)."""
     if spec.max_bytes is not None and size_in_bytes(spark, path) > spec.max_bytes:

@@ -6,6 +6,10 @@ on missing meaning NULL.
 
 from __future__ import annotations
 
+import functools
+import json
+import operator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +41,15 @@ def read_table(
     schema: T.StructType | str | None = None,
     *,
     fmt: str | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read a table; the format follows the suffix unless ``fmt`` is given.
 
-    CSV without a schema is typed by one aggregate over the whole file.
-    ``multiline=False`` lets Spark split large CSV files between tasks; use it
-    when no quoted value holds a line break.
+    CSV without a schema is typed by one aggregate over the whole file. Spark splits
+    large CSV files between tasks; ``multiline`` reads each file in one task, which a
+    quoted value with a line break needs. Such values and records with more cells than
+    the header raise an error. JSON is one record per line, or a document (an array
+    of records or one object), told apart by the first line; malformed JSON raises.
     """
     fmt = fmt or table_format(path)
     if isinstance(schema, str):
@@ -52,30 +58,121 @@ def read_table(
         return read_csv(spark, path, schema, multiline=multiline)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "json":
-        return nulls_only(reader.json(str(path)))
+        return nulls_only(
+            reader.json(str(path), mode="FAILFAST", multiLine=multiline or is_json_document(spark, path))
+        )
     if fmt == "parquet":
         return nulls_only(reader.parquet(str(path)))
     raise ValueError(f"unknown table format {fmt!r}; known: {list(FORMATS)}")
 
 
-def raw_csv(spark, path, *, multiline=True) -> DataFrame:
-    """All columns as text, missing tokens as NULL; short rows are padded."""
-    text = spark.read.csv(
-        str(path),
+def is_json_document(spark, path) -> bool:
+    """True when the first line with content is not a JSON object by itself."""
+    first = spark.read.text(str(path)).filter(F.trim("value") != "").head()
+    if first is None:
+        return False
+    try:
+        return not isinstance(json.loads(first[0]), dict)
+    except ValueError:
+        return True
+
+
+CSV = {"quote": '"', "escape": '"', "inferSchema": False}
+#: Column that holds a record whose number of cells differs from the header's.
+ODD_RECORD = "odd_record_"
+END_MARK = "\u0002end\u0003"
+
+
+def csv_records(spark, path, *, multiline=False) -> DataFrame:
+    """All cells as text, and in ``ODD_RECORD`` each record with too few or too many of them.
+
+    Every file must have the same header. Repeated and blank headers, which Spark renames,
+    are taken by position.
+    """
+    path = str(path)
+    names = spark.read.csv(path, header=True, multiLine=multiline, **CSV).columns
+    head = spark.read.csv(path, header=False, multiLine=multiline, **CSV).head()
+    if len(names) == 1:
+        multiline = True  # a broken value cannot be told from two whole ones
+    fields = [T.StructField(c, T.StringType()) for c in (*names, ODD_RECORD)]
+    # all cells are parsed in every plan, since a pruned record never looks odd
+    return spark.read.schema(T.StructType(fields)).option("columnPruning", False).csv(
+        path,
         header=True,
-        inferSchema=False,
-        enforceSchema=True,
+        enforceSchema=head is None or list(head) != names,
         multiLine=multiline,
-        quote='"',
-        escape='"',
+        columnNameOfCorruptRecord=ODD_RECORD,
         mode="PERMISSIVE",
+        **CSV,
+    )
+
+
+def surplus_cells(record, columns: int):
+    """True for a record with more than ``columns`` cells.
+
+    A mark is added as a last cell; in a longer record it lies beyond those looked at.
+    """
+    wide = ", ".join(f"c{i} string" for i in range(columns + 2))
+    marked = F.concat(record, F.lit("," + END_MARK))
+    cells = F.from_csv(marked, wide, {"quote": '"', "escape": '"'})
+    seen = [cells[f"c{i}"].eqNullSafe(F.lit(END_MARK)) for i in range(columns + 1)]
+    return record.isNotNull() & ~functools.reduce(operator.or_, seen)
+
+
+def broken_line(record):
+    """True for a record that ends inside a quoted value."""
+    return record.isNotNull() & (F.length(F.regexp_replace(record, '[^"]', "")) % 2 == 1)
+
+
+def csv_ragged_counts(spark, path, *, multiline=False) -> DataFrame:
+    """One row: records, records with too few cells and with too many."""
+    records = csv_records(spark, path, multiline=multiline)
+    odd, width = F.col(ODD_RECORD), len(records.columns) - 1
+    long = surplus_cells(odd, width)
+    # Spark refuses plans that read the odd records alone, so the first cell is read too
+    text = F.concat_ws(",", odd, quoted(records.columns[0]))
+    return records.select(odd.isNotNull().alias("odd"), long.alias("long"), text.alias("text")).agg(
+        F.count_if(F.length("text") >= 0).alias("records"),
+        F.count_if(F.col("odd") & ~F.col("long")).alias("short_records"),
+        F.count_if("long").alias("long_records"),
     )
+
+
+def whole_csv(spark, path, *, multiline=False, ragged="error") -> DataFrame:
+    """All cells as text; short rows are padded.
+
+    A record with more cells than the header raises, or is left out with
+    ``ragged="drop"`` (``csv_ragged_counts`` tells how many there are). A quoted value
+    with a line break raises unless ``multiline``.
+    """
+    if ragged not in ("error", "drop"):
+        raise ValueError("ragged records are an 'error', or 'drop' leaves them out")
+    records = csv_records(spark, path, multiline=multiline)
+    names = [c for c in records.columns if c != ODD_RECORD]
+    odd = F.col(ODD_RECORD)
+    long = surplus_cells(odd, len(names))
+    start = F.substring(F.concat_ws(" ", odd, quoted(names[0])), 1, 200)
+    whole = F.when(odd.isNull(), True)
+    if not multiline and len(names) > 1:
+        reason = F.concat(F.lit("a quoted value holds a line break; read with multiline=True: "), start)
+        whole = whole.when(broken_line(odd), F.raise_error(reason).cast("boolean"))
+    if ragged == "error":
+        reason = F.concat(F.lit(f"a record has more than {len(names)} cells: "), start)
+        whole = whole.when(long, F.raise_error(reason).cast("boolean"))
+    else:
+        whole = whole.when(long, False)
+    return records.filter(whole.otherwise(True)).select(*map(quoted, names))
+
+
+def raw_csv(spark, path, *, multiline=False, ragged="error") -> DataFrame:
+    """``whole_csv`` with missing tokens as NULL."""
+    text = whole_csv(spark, path, multiline=multiline, ragged=ragged)
     return text.select(
         *[F.when(~quoted(c).isin(list(NA_TOKENS)), quoted(c)).alias(c) for c in text.columns]
     )
 
 
-def read_csv(spark, path, schema=None, *, multiline=True) -> DataFrame:
+def read_csv(spark, path, schema=None, *, multiline=False) -> DataFrame:
     text = raw_csv(spark, path, multiline=multiline)
     kinds = {f.name: f.dataType for f in schema.fields} if schema else infer_types(text)
     return text.select(*[typed(quoted(c), kinds.get(c, T.StringType())).alias(c) for c in text.columns])

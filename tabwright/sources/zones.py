@@ -3,26 +3,28 @@
 from __future__ import annotations
 
 from tabwright.sources.files import exists, protect_outputs
-from tabwright.sources.tables import read_table, table_format
+from tabwright.operators.schema import repeated_names
+from tabwright.sources.tables import CSV, read_table, table_format, whole_csv
 
 
-def snapshot(spark, source: str, destination: str, *, overwrite=False, multiline=True) -> None:
+def snapshot(spark, source: str, destination: str, *, overwrite=False, multiline=False) -> None:
     """Copy a table with Spark tasks, so no file passes through the driver.
 
-    JSON lines are copied as text, CSV cells as text, Parquet values as they
-    are: nothing is parsed, typed or replaced.
+    JSON is copied line by line, CSV cell by cell, Parquet value by value: nothing is typed
+    or replaced. A CSV record with more cells than its header, or a header that names a
+    column twice, has no such copy and raises.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     fmt = table_format(source)
     if fmt == "json":
-        spark.read.text(source).write.mode(mode).text(destination)
+        spark.read.text(source, lineSep="\n").write.mode(mode).text(destination)
     elif fmt == "parquet":
         spark.read.parquet(source).write.mode(mode).parquet(destination)
     else:
-        cells = spark.read.csv(
-            source, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline
-        )
-        cells.write.mode(mode).csv(
+        head = spark.read.csv(source, header=False, multiLine=multiline, **CSV).head()
+        if head is not None and repeated_names(list(head)):
+            raise ValueError(f"{source} repeats the columns {repeated_names(list(head))}")
+        whole_csv(spark, source, multiline=multiline).write.mode(mode).csv(
             destination,
             header=True,
             quote='"',
@@ -45,7 +47,7 @@ def ingest(spark, source: str, raw_dir: str, *, overwrite: bool = False, **readi
     destination = f"{str(raw_dir).rstrip('/')}/{source.rpartition('/')[2]}"
     protect_outputs(spark, [destination], [source], overwrite)
     snapshot(
-        spark, source, destination, overwrite=overwrite, multiline=reading.get("multiline", True)
+        spark, source, destination, overwrite=overwrite, multiline=reading.get("multiline", False)
     )
     table = read_table(spark, destination, **reading)
     if not table.columns or table.isEmpty():

@@ -245,7 +245,7 @@ IN_ALL = "SELECT 'all rows' AS class, count(*) AS n FROM orders"
 def _split_sql(rows, class_sql, seed=42):
     return f"""WITH {quota_sql(rows)},
   ranked AS (SELECT o_orderkey, {class_sql} AS class, row_number() OVER (
-    PARTITION BY {class_sql} ORDER BY md5('{seed}|' || o_orderkey)) AS place FROM orders)
+    PARTITION BY {class_sql} ORDER BY md5('{seed}|' || length(o_orderkey::VARCHAR) || ':' || o_orderkey)) AS place FROM orders)
   SELECT o_orderkey, ranked.class, CASE WHEN place <= train THEN 'train'
     WHEN place <= train + validation THEN 'validation' ELSE 'test' END AS split
   FROM ranked JOIN shares ON ranked.class = shares.class"""
@@ -287,6 +287,43 @@ def split_repeated_keys(spark, sf_dir):
     return frame.groupBy("split").agg(F.count("*").alias("rows"))
 
 
+def _sizes_sql(rows):
+    return f"""WITH {quota_sql(rows)}
+    SELECT 'train' AS split, train AS rows FROM shares UNION ALL
+    SELECT 'validation', validation FROM shares UNION ALL SELECT 'test', test FROM shares"""
+
+
+IN_LINES = "SELECT 'all rows' AS class, count(*) AS n FROM lineitem"
+
+
+@query("split_null_keys", _sizes_sql(IN_LINES))
+def split_null_keys(spark, sf_dir):
+    """Whole rows as keys: many copies, and missing values that change places."""
+    items = table(spark, sf_dir, "lineitem")
+    odd = F.col("l_linenumber") % 2 == 1
+    rows = items.select(
+        F.when(odd, F.col("l_returnflag")).alias("a"), F.when(~odd, F.col("l_returnflag")).alias("b")
+    )
+    frame = split_table(rows, SplitSpec()).frame
+    return frame.groupBy("split").agg(F.count("*").alias("rows"))
+
+
+@query("split_colliding_keys", _sizes_sql(IN_LINES))
+def split_colliding_keys(spark, sf_dir):
+    """Keys whose texts are the same once they are joined by a bar."""
+    items = table(spark, sf_dir, "lineitem")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    odd = F.col("l_linenumber") % 2 == 1
+    rows = items.select(
+        F.when(odd, F.concat(flag, F.lit("|"), status)).otherwise(flag).alias("a"),
+        F.when(odd, F.lit("x")).otherwise(F.concat(status, F.lit("|x"))).alias("b"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    frame = split_table(rows, SplitSpec(key_columns=("a", "b"))).frame
+    return frame.groupBy("split").agg(F.count("*").alias("rows"))
+
+
 @query(
     "split_sizes",
     f"""WITH {quota_sql(BY_PRIORITY)} SELECT 'train' AS split, CAST(sum(train) AS BIGINT) AS rows FROM shares
@@ -311,7 +348,7 @@ def _feasible_sql(column):
     "feature_dataset",
     f"""WITH {quota_sql(BY_PRIORITY)},
   ranked AS (SELECT *, row_number() OVER (
-    PARTITION BY o_orderpriority ORDER BY md5('42|' || o_orderkey)) AS place FROM orders)
+    PARTITION BY o_orderpriority ORDER BY md5('42|' || length(o_orderkey::VARCHAR) || ':' || o_orderkey)) AS place FROM orders)
   SELECT o_orderkey, o_orderpriority, CASE WHEN place <= train THEN 'train'
     WHEN place <= train + validation THEN 'validation' ELSE 'test' END AS split,
     CAST(year(o_orderdate) AS INT) AS o_orderdate_year,

@@ -38,7 +38,7 @@ from tabwright.sources.strict import (
     violations,
     with_generated_key,
 )
-from tabwright.sources.tables import export_csv, read_table, write_table
+from tabwright.sources.tables import csv_ragged_counts, raw_csv, export_csv, read_table, write_table
 from tabwright.sources.zones import ingest
 from tabwright.workloads.registry import (
     CLEAN_CTE,
@@ -100,7 +100,48 @@ def csv_text_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "documents.csv")
     documents = table(spark, sf_dir, "documents")
     write_table(documents, path)
-    return read_table(spark, path, documents.schema)
+    return read_table(spark, path, documents.schema, multiline=True)
+
+
+RAGGED = """CASE o_orderkey % 10 WHEN 3 THEN o_orderkey || ',' || o_orderpriority || ',' || o_orderstatus
+  WHEN 4 THEN o_orderkey || '' ELSE o_orderkey || ',"' || o_orderpriority || '"' END"""
+
+
+def _ragged_csv(spark, sf_dir):
+    """Orders as CSV lines of two cells; some lines have one or three."""
+    path = scratch_path(spark, "ragged.csv")
+    lines = table(spark, sf_dir, "orders").select(F.expr(RAGGED).alias("key,priority"))
+    lines.write.csv(path, header=True, sep="\u0001", quote="\u0000", escapeQuotes=False)
+    return path
+
+
+@query(
+    "csv_ragged_counts",
+    """SELECT CAST(count(*) AS BIGINT) AS records, CAST(count(*) FILTER (o_orderkey % 10 = 4) AS BIGINT) AS short_records,
+    CAST(count(*) FILTER (o_orderkey % 10 = 3) AS BIGINT) AS long_records FROM orders""",
+)
+def ragged_counts(spark, sf_dir):
+    return csv_ragged_counts(spark, _ragged_csv(spark, sf_dir))
+
+
+@query(
+    "csv_ragged_dropped",
+    """SELECT CAST(o_orderkey AS BIGINT) AS key, CASE WHEN o_orderkey % 10 <> 4 THEN o_orderpriority END AS priority
+    FROM orders WHERE o_orderkey % 10 <> 3""",
+)
+def csv_ragged_dropped(spark, sf_dir):
+    text = raw_csv(spark, _ragged_csv(spark, sf_dir), ragged="drop")
+    return text.select(F.col("key").cast("bigint").alias("key"), "priority")
+
+
+@query("json_document", "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name FROM supplier")
+def json_document(spark, sf_dir):
+    """One JSON array over many lines, read as records."""
+    path = scratch_path(spark, "suppliers.json")
+    records = table(spark, sf_dir, "supplier").select(F.to_json(F.struct("s_suppkey", "s_name")).alias("r"))
+    whole = records.agg(F.concat(F.lit("[\n  "), F.array_join(F.collect_list("r"), ",\n  "), F.lit("\n]\n")))
+    whole.write.text(path)
+    return read_table(spark, path).select("s_suppkey", "s_name")
 
 
 @query(
@@ -133,7 +174,7 @@ FROM {customer}
 def formula_safe_export(spark, sf_dir):
     path = scratch_path(spark, "export.csv")
     export_csv(shared_sql(spark, sf_dir, FORMULA_SQL, "customer"), path)
-    return read_table(spark, path)
+    return read_table(spark, path, multiline=True)
 
 
 STRICT_SQL = """

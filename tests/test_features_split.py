@@ -160,7 +160,7 @@ def test_split_equals_plain_ranking(spark):
     got = {r["id"]: r["split"] for r in split_table(df, spec).frame.collect()}
     for label in "xy":
         ids = [i for i in range(500) if (i % 3 == 0) == (label == "x")]
-        ids.sort(key=lambda i: hashlib.md5(f"5|{i}".encode()).hexdigest())
+        ids.sort(key=lambda i: hashlib.md5(f"5|{len(str(i))}:{i}".encode()).hexdigest())
         a, b, _ = expected_quota(len(ids), spec.fractions)
         want = ["train"] * a + ["validation"] * b + ["test"] * (len(ids) - a - b)
         assert [got[i] for i in ids] == want

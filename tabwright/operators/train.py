@@ -102,6 +102,12 @@ def fit_model(train: DataFrame, spec: TrainSpec):
     plan = fit_preprocessing(rows, numeric, categorical)
     stages = plan.transformers(feature_frame(rows, features))
     classes = list(per_class)
+    width = len(plan.numeric) + sum(len(plan.categories[c]) for c in plan.categorical)
+    if width * len(classes) > spec.most_coefficients:
+        raise ValueError(
+            f"{width} feature columns for {len(classes)} classes are more than "
+            f"{spec.most_coefficients} coefficients; drop wide features or raise most_coefficients"
+        )
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), quoted(spec.target_column)) - 1
     nominal = {"ml_attr": {"type": "nominal", "vals": [str(c) for c in classes], "name": "tw_label"}}
     weights = {c: total / (len(classes) * n) for c, n in per_class.items()}

@@ -42,11 +42,13 @@ def repeated_rows(df: DataFrame) -> DataFrame:
     if size == 0:
         empty = small_table(source.sparkSession, [], source.schema)
         return empty.withColumn("copies", F.lit(0).cast("bigint"))
+    suspects = df
     if size <= BROADCAST_ROWS:
-        hashes = F.broadcast(hashes)
-    suspects = df.withColumn("row_hash", F.xxhash64(*names)).join(
-        hashes, "row_hash", "left_semi"
-    )
+        suspects = df.withColumn("row_hash", F.xxhash64(*names)).join(
+            F.broadcast(hashes), "row_hash", "left_semi"
+        )
+    # with more shared hashes all rows are grouped: copies combine in the map tasks,
+    # where a join would send every copy of a row to one task
     return (
         suspects.groupBy(*names)
         .agg(F.count("*").alias("copies"))

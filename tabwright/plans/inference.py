@@ -114,13 +114,15 @@ def run_inference(
     include_input: bool = True,
     include_probabilities: bool = True,
     preserve_original_columns: bool = True,
+    key_columns=(),
     overwrite: bool = False,
     **reading,
 ) -> InferenceRun:
     """Score a stored table: read, features, model, write, as one plan.
 
     The feature table is stored too when ``features_output`` is given. Output
-    rows hold features and originals.
+    rows hold features and originals; without input columns they hold
+    ``key_columns``, or row numbers when there are none.
     """
     artifact = load_artifact(spark, model)
     table = read_table(spark, data, **reading)
@@ -135,7 +137,7 @@ def run_inference(
     if stage == "cleaned":
         record = load_manifest(spark, manifest)
         check_compatible(record, artifact)
-        frame, plan = inference_features(table, record, keep_originals=preserve_original_columns)
+        frame, plan = inference_features(table, record, keep_originals=preserve_original_columns or bool(key_columns))
         engineered = tuple(plan.engineered)
         counters = plan.counters()
     counts = table.agg(F.count("*").alias("input_rows"), *counters).first().asDict()
@@ -151,6 +153,7 @@ def run_inference(
         prediction_column=prediction_column,
         include_input=include_input,
         include_probabilities=include_probabilities,
+        key_columns=key_columns,
     )
     write_table(result.frame, output, overwrite=overwrite, allowed=("csv", "parquet"))
     return InferenceRun(

@@ -59,16 +59,18 @@ def prepare_path(
     *,
     overwrite: bool = False,
     repeats_are_fatal: bool = False,
+    before: ValidationRules | None = None,
     **reading,
 ) -> Preparation:
     """Ingest, validate raw, clean, validate cleaned.
 
     Names are not normalised before cleaning, so the raw check covers missing
     fractions and repeats only; target and required columns are checked
-    afterwards. ``repeats_are_fatal`` applies to the second check.
+    afterwards. ``before`` states other rules for the raw check, target and required
+    columns included. ``repeats_are_fatal`` applies to the second check.
     """
     raw_path, raw = ingest(spark, source, raw_dir, overwrite=overwrite, **reading)
-    raw_report = validate_table(raw, raw_rules(rules))
+    raw_report = validate_table(raw, raw_rules(rules) if before is None else before)
     report = clean_path(spark, raw_path, cleaned_path, cleaning, overwrite=overwrite, **reading)
     cleaned = read_table(spark, cleaned_path)
     final = validate_table(cleaned, replace(rules, fail_on_duplicate_rows=repeats_are_fatal))

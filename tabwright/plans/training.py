@@ -15,7 +15,7 @@ from tabwright.operators.split import SPLITS, SplitSpec, split_table
 from tabwright.operators.train import TrainSpec, fit_model, with_target
 from tabwright.plans.manifest import manifest_record, save_manifest
 from tabwright.sources.artifacts import ModelArtifact, load_artifact, save_artifact
-from tabwright.sources.files import protect_outputs, write_json
+from tabwright.sources.files import exists, protect_outputs, write_json
 from tabwright.sources.tables import read_table, write_table
 
 
@@ -129,6 +129,46 @@ def train_table(train: DataFrame, validation: DataFrame | None, spec: TrainSpec)
     return Training(artifact, rows, name, evaluate_table(validation, artifact), warnings)
 
 
+def sibling_validation(spark, train: str) -> str | None:
+    """The table beside ``train`` whose name says validation instead, if it exists."""
+    folder, slash, name = str(train).rstrip("/").rpartition("/")
+    head, found, tail = name.rpartition("train")
+    path = f"{folder}{slash}{head}validation{tail}"
+    return path if found and exists(spark, path) else None
+
+
+def train_path(
+    spark, train: str, model: str, report: str, spec: TrainSpec, *,
+    validation: str | None = None, overwrite: bool = False, **reading,
+) -> Training:
+    """Fit on a stored table, and save model and metrics.
+
+    Metrics come from ``validation``, else from the validation table beside the training
+    table, else from the training rows with a warning.
+    """
+    if validation is not None and not exists(spark, validation):
+        raise FileNotFoundError(f"no validation table at {validation}")
+    validation = validation or sibling_validation(spark, train)
+    sources = [train] if validation is None else [train, validation]
+    protect_outputs(spark, [model, report], sources, overwrite)
+    held = None if validation is None else read_table(spark, validation, **reading)
+    fitted = train_table(read_table(spark, train, **reading), held, spec)
+    save_artifact(spark, fitted.artifact, model, overwrite=overwrite)
+    write_json(
+        spark,
+        {
+            **fitted.artifact.description(),
+            "model_path": model,
+            "training_rows": fitted.train_rows,
+            "evaluation_dataset": fitted.evaluation_dataset,
+            **fitted.metrics,
+        },
+        report,
+        overwrite,
+    )
+    return fitted
+
+
 def evaluate_path(spark, data: str, model: str, report: str, *, overwrite=False, **reading) -> dict:
     """Evaluate a stored model on a stored table and save the metrics."""
     protect_outputs(spark, [report], [data, model], overwrite)

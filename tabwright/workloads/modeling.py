@@ -492,17 +492,19 @@ def impute_mode(spark, sf_dir):
     UNION ALL SELECT o_orderkey, CAST(slot AS BIGINT) FROM filled JOIN nat USING (n_name)""",
 )
 def onehot_long(spark, sf_dir):
+    """The active slot of each category, from its index and the widths before it."""
     from pyspark.ml import PipelineModel
-    from pyspark.ml.functions import vector_to_array
 
     df = sales_with_gaps(spark, sf_dir)
-    stages = fit_preprocessing(df, (), CATEGORICAL).transformers(df)
-    coded = PipelineModel(stages).transform(df)
-    return (
-        coded.select("o_orderkey", F.posexplode(vector_to_array("tw_features")).alias("slot", "on"))
-        .filter("on = 1.0")
-        .select("o_orderkey", F.col("slot").cast("bigint").alias("slot"))
-    )
+    plan = fit_preprocessing(df, (), CATEGORICAL)
+    coded = PipelineModel(plan.transformers(df)).transform(df)
+    slots, before = [], 0
+    for i, c in enumerate(CATEGORICAL):
+        width = len(plan.categories[c])
+        index = F.col(f"tw_idx_{i}")
+        slots.append(F.when(index < width, index + before).cast("bigint"))
+        before += width
+    return coded.select("o_orderkey", F.explode(F.array(*slots)).alias("slot")).filter("slot is not null")
 
 
 @query(

@@ -38,7 +38,7 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     )
 
 
-def slices(batches, most_bytes: int = 4 << 20):
+def slices(batches, most_bytes: int = 1 << 20):
     """Cut Arrow batches so that each part holds about ``most_bytes``, one row at least."""
     for batch in batches:
         if not batch.num_rows:

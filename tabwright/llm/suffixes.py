@@ -34,7 +34,7 @@ from .linecrf import SpanHasher
 LENGTH = 100
 GRAM = 24
 #: Bytes of contexts in one suffix array, and contexts of one anchor in one shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 SHARD_CONTEXTS = 20_000
 
 SPAN = pa.schema(

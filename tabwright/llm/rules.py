@@ -39,8 +39,8 @@ class Rule:
 RULES = (
     Rule("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 30),
     Rule("capitals", "1000 * n_upper div greatest(word_chars, 1)", 150),
-    Rule("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 500),
-    Rule("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 300),
+    Rule("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 200),
+    Rule("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 100),
     Rule("word_length", "100 * word_chars div greatest(n_words, 1)", 150, both=True),
 )
 

@@ -67,6 +67,26 @@ def test_rules_adapt_to_their_group(spark):
     same(rules.rule_report(docs), sql.rules_sql(), docs)
 
 
+def test_repeats_and_duplicate_lines_are_judged_by_their_group(spark):
+    def repeats(i):  # 24 of 96 words
+        return " ".join([prose(i, 12), prose(i + 10**6, 36), prose(i, 12), prose(i + 10**7, 36)])
+
+    def lines(i):  # 3 of 12 lines again
+        own = [prose(100 * i + k, 5) for k in range(9)]
+        return "\n".join([*own, *own[:8:3]])
+
+    rows = [(i, prose(i, 96), "en", "clean", 0) for i in range(300)]
+    rows += [(1000 + i, repeats(1000 + i), "en", "songs", 0) for i in range(300)]
+    rows += [(2000 + i, lines(2000 + i), "en", "lists", 0) for i in range(300)]
+    rows += [(5000, repeats(5000), "en", "clean", 0), (5001, lines(5001), "en", "clean", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    report = rules.rule_report(docs)
+    found = {r.doc_id: r for r in report.collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {k for k, r in found.items() if not r.kept} == {5000, 5001}
+    same(report, sql.rules_sql(), docs)
+
+
 def test_rules_use_no_python(edges):
     plan = rules.rule_report(edges)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

@@ -6,6 +6,7 @@ one-element array and ``explode``, which computes it once.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -47,6 +48,38 @@ TEMPLATES = {
         "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
         "PERFORMANCE OF THIS SOFTWARE."
     ),
+    "BSD-2-Clause/text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. THIS "
+        "SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS "
+        "FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+        "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+        "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD-3-Clause/text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. Neither the "
+        "name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. THIS "
+        "SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS "
+        "FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+        "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+        "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
     "BSD-3-Clause/notice": "Licensed under the BSD 3-Clause License.",
     "BSD-2-Clause/notice": "Licensed under the BSD 2-Clause License.",
     "GPL-3.0/notice": "This work is licensed under the GNU General Public License, version 3.",
@@ -60,6 +93,15 @@ TEMPLATES = {
         "have received a copy of the GNU General Public License along with this program. If not, see "
         "https://www.gnu.org/licenses/."
     ),
+    "GPL-2.0/header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the "
+        "GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+        "License, or (at your option) any later version. This program is distributed in the hope that it "
+        "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should "
+        "have received a copy of the GNU General Public License along with this program; if not, write to "
+        "the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+    ),
     "LGPL-3.0/notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "AGPL-3.0/notice": "This work is licensed under the GNU Affero General Public License, version 3.",
     "MPL-2.0/header": (
@@ -98,7 +140,8 @@ def licence_matches(
 ) -> DataFrame:
     """(doc_id, license_id, n_segments, best_dice): every licence found in every document.
 
-    The segments of a document are its lines and, if it has several, its whole text. Text is
+    The segments of a document are its lines, its whole text if it has several lines, and
+    passages that do not overlap, see ``_passages``. Text is
     lower-cased and all but letters and digits count as one space. Dice is twice the common
     distinct bigrams over the sum of both counts; a segment with a bigram count outside
     ``least / (2 - least)`` to ``(2 - least) / least`` times a template's cannot reach
@@ -147,9 +190,129 @@ def licence_matches(
         ).alias("t"),
     )
     dice = (2 * F.size(F.array_intersect("b", "t.bigrams"))) / (F.size("b") + F.size("t.bigrams"))
+    whole = candidates.select(
+        "doc_id", F.col("t.id").alias("license_id"), dice.alias("dice"), F.lit(1).alias("n")
+    ).filter(F.col("dice") >= least)
     return (
-        candidates.select("doc_id", F.col("t.id").alias("license_id"), dice.alias("dice"))
-        .filter(F.col("dice") >= least)
+        whole.union(_passages(docs, templates, least))
         .groupBy("doc_id", "license_id")
-        .agg(F.count("*").alias("n_segments"), F.max("dice").alias("best_dice"))
+        .agg(F.sum("n").alias("n_segments"), F.max("dice").alias("best_dice"))
+    )
+
+
+def _normal(text):
+    return F.trim(F.regexp_replace(F.lower(text), NOT_WORD, " "))
+
+
+def _bigrams(words):
+    """Word bigrams of an array in order, with repeats."""
+    return F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)),
+    )
+
+
+def _dice(bigrams, known):
+    """Dice of distinct bigrams; 0 when there are none."""
+    own = F.array_distinct(bigrams)
+    return (2 * F.size(F.array_intersect(own, known))) / (F.size(own) + F.size(known))
+
+
+def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """(doc_id, license_id, dice, n): licences inside longer lines or over several lines.
+
+    A passage is a run of consecutive words, across line ends, that starts at a bigram of the
+    template and has as many words as the template, or ends at one of its bigrams and has at
+    most ``(2 - least) / least`` times as many. Lines that match the template by themselves
+    are gaps here, and a text that matches as a whole has no passages. ``dice`` is the best of
+    all passages, ``n`` the most that do not overlap. Runs are compared only where a share of
+    ``least / (2 - least)`` of the template's bigrams, without which Dice cannot reach
+    ``least``, lies close enough together.
+    """
+    ratio = (2 - least) / least
+    known = {k: template_bigrams(v) for k, v in templates.items()}
+    length = {k: len(re.sub(r"[^a-z0-9]+", " ", v.lower()).split()) - 1 for k, v in templates.items()}
+    table = F.array(
+        *(
+            F.struct(
+                F.lit(k).alias("id"),
+                F.array(*map(F.lit, v)).alias("bigrams"),
+                F.lit(math.ceil(len(v) / ratio - 1e-9)).alias("need"),
+                F.lit(length[k]).alias("length"),
+                F.lit(max(length[k], int(length[k] * ratio))).alias("longest"),
+            )
+            for k, v in known.items()
+        )
+    )
+    every = sorted(set().union(*known.values()))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    keep = ("doc_id", "text")
+    words = _once(texts, F.split(_normal("text"), " "), "w", *keep)
+    hits = _once(words, F.array_distinct(F.filter(_bigrams(F.col("w")), lambda b: b.isin(every))), "hits", *keep)
+    least_need = min(math.ceil(len(v) / ratio - 1e-9) for v in known.values())
+    near = hits.filter(F.size("hits") >= least_need).select(
+        *keep,
+        F.explode(
+            F.filter(table, lambda t: F.size(F.array_intersect(F.col("hits"), t["bigrams"])) >= t["need"])
+        ).alias("t"),
+    )
+    # words of each line; a line that matches alone becomes a word that no text has
+    lines = _once(near, F.transform(F.split("text", "\n"), lambda x: F.split(_normal(x), " ")), "lines", "doc_id", "t")
+    matches = lambda b: _dice(b, F.col("t.bigrams")) >= least
+    lines = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t", "lines")
+    lines = _once(lines, _bigrams(F.col("w")), "b", "doc_id", "t", "lines").filter(~matches(F.col("b")))
+    lines = lines.select(
+        "doc_id",
+        "t",
+        F.transform(
+            "lines",
+            lambda x: F.when((F.size(x) > F.col("t.need")) & matches(_bigrams(x)), F.array(F.lit("|"))).otherwise(x),
+        ).alias("lines"),
+    )
+    rest = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t")
+    rest = _once(rest.filter(F.size("w") > F.col("t.length")), _bigrams(F.col("w")), "b", "doc_id", "t")
+    at = F.filter(
+        F.transform("b", lambda x, i: F.when(F.array_contains("t.bigrams", x), i)), lambda i: i.isNotNull()
+    )
+    rest = _once(rest, at, "at", "doc_id", "t", "b")
+
+    def runs(i, k):
+        """(end, dice) of the runs that start at hit ``k``, which is bigram ``i``."""
+        close = F.get("at", k + F.col("t.need") - 1) - i < F.col("t.longest")
+        start = F.least(i, F.size("b") - F.col("t.length"))
+        ends = F.filter(
+            F.slice("at", k + 1, F.col("t.longest")),
+            lambda e: (e - start >= F.col("t.length")) & (e - start < F.col("t.longest")),
+        )
+        ends = F.concat(F.array(start + F.col("t.length") - 1), ends)
+        return F.when(
+            close,
+            F.transform(
+                ends,
+                lambda e: F.struct(
+                    e.alias("end"),
+                    start.alias("start"),
+                    _dice(F.slice("b", start + 1, e - start + 1), F.col("t.bigrams")).alias("dice"),
+                ),
+            ),
+        ).otherwise(F.array().cast("array<struct<end:int,start:int,dice:double>>"))
+
+    found = _once(
+        rest,
+        F.array_sort(F.filter(F.flatten(F.transform("at", runs)), lambda r: r["dice"] >= least)),
+        "found",
+        "doc_id",
+        "t",
+    ).filter(F.size("found") > 0)
+    apart = F.aggregate(
+        "found",
+        F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n")),
+        lambda a, r: F.when(
+            r["start"] > a["end"], F.struct(r["end"].alias("end"), (a["n"] + 1).alias("n"))
+        ).otherwise(a),
     )
+    best = F.array_max(F.transform("found", lambda r: r["dice"]))
+    return found.select("doc_id", F.col("t.id").alias("license_id"), best.alias("dice"), apart["n"].alias("n"))

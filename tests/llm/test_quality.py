@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import numpy as np
 
@@ -106,6 +107,24 @@ def test_licences(spark, edges, no_docs):
     assert licences.licence_matches(no_docs).count() == 0
 
 
+def test_licences_inside_longer_texts(spark):
+    def wrapped(name, lead=""):
+        return "\n".join(lead + x for x in textwrap.wrap(licences.TEMPLATES[name], 70))
+
+    def around(i, text):
+        return f"{prose(i, 400)}\n{text}\n{prose(i + 1, 400)}"
+
+    pairs = [(i, around(10 * i, wrapped(name))) for i, name in enumerate(["MIT/text", "GPL-3.0/header", "BSD-2-Clause/text"])]
+    pairs += [(3, around(60, wrapped("MIT/text", " * "))), (4, f"{prose(7, 30)} released under the MIT License. {prose(8, 30)}")]
+    pairs += [(5, around(70, wrapped("MIT/text") + "\n" + prose(9, 300) + "\n" + wrapped("MIT/text", "rem ")))]
+    pairs += [(6, f"Released under the MIT License.\n{prose(1, 30)} released under the MIT license {prose(2, 30)}"), (7, around(80, "all rights"))]
+    found = {(r.doc_id, r.license_id): r for r in licences.licence_matches(make_docs(spark, pairs)).collect()}
+    for key in ((0, "MIT/text"), (1, "GPL-3.0/header"), (2, "BSD-2-Clause/text"), (3, "MIT/text"), (4, "MIT/notice")):
+        assert found[key].n_segments == 1 and found[key].best_dice == 1, key
+    assert found[5, "MIT/text"].n_segments == 2 and found[6, "MIT/notice"].n_segments == 2
+    assert not any(doc == 7 for doc, _ in found)
+
+
 def test_line_features_do_not_depend_on_neighbours_in_the_batch():
     bodies = [(t or "").encode() for _, t in EDGES]
     owner, size, own = linecrf.line_features(bodies)

@@ -92,7 +92,7 @@ def train_lr_metrics(spark, sf_dir):
 
 @query("train_rf_metrics")
 def train_rf_metrics(spark, sf_dir):
-    spec = TrainSpec("o_orderstatus", model_type="random_forest", n_estimators=20, max_depth=6)
+    spec = TrainSpec("o_orderstatus", model_type="random_forest")
     done = train_table(_features(spark, sf_dir), None, spec)
     return metric_rows(spark, {done.evaluation_dataset: done.metrics})
 

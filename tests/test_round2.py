@@ -7,9 +7,11 @@ from tabwright.errors import ArtifactError
 from tabwright.operators.profile import ProfileSpec, choose_columns
 from tabwright.operators.score import probability_names
 from tabwright.operators.split import SplitSpec, split_table
+from tabwright.operators.train import TrainSpec
 from tabwright.plans.manifest import RECIPE_RULES, Rule, checked_ratios, require_rules
 from tabwright.sources.tables import csv_ragged_counts, raw_csv, read_table
 from tabwright.sources.zones import snapshot
+from tabwright.workloads import training
 
 HALF = SplitSpec(0.5, 0.25, 0.25)
 
@@ -137,3 +139,16 @@ def test_probability_names_take_the_next_free_number():
     used = ["probability_a", "probability_a_2"]
     assert probability_names(["a", "A!", "b"], used)[0] == "probability_a_3"
     assert len(set(probability_names(["x y", "x-y", "x_y"], []))) == 3
+
+
+def test_the_forest_query_fits_the_full_forest(monkeypatch):
+    seen = []
+    monkeypatch.setattr(training, "_features", lambda spark, sf_dir: None)
+    monkeypatch.setattr(training, "metric_rows", lambda spark, blocks: blocks)
+
+    class Done:
+        evaluation_dataset, metrics = "validation", {}
+
+    monkeypatch.setattr(training, "train_table", lambda rows, out, spec: seen.append(spec) or Done)
+    training.train_rf_metrics(None, "")
+    assert seen == [TrainSpec("o_orderstatus", model_type="random_forest")]

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.schema import quoted
-from tabwright.session import small_table
+from tabwright.session import settle_any, small_table
 
 # --- fixed values -----------------------------------------------------------
 # Probabilities are clipped to [EPSILON, 1 - EPSILON], the double machine epsilon.
 EPSILON = 2.220446049250313e-16
+#: Unknown labels that an error names; it counts the rest.
+NAMED = 100
 # Metrics a quality gate may use.
 GATE_METRICS = ("accuracy", "balanced_accuracy", "f1_weighted")
 # ----------------------------------------------------------------------------
@@ -151,12 +153,15 @@ def evaluate_predictions(df, label, prediction, classes, probabilities=None) ->
     counts = df.groupBy(
         quoted(label).alias("label"), quoted(prediction).alias("prediction")
     ).agg(F.count("*").alias("n"), *extra)
-    # known labels give at most classes x classes rows, so anything beyond that
-    # shows unknown labels among the rows taken
-    rows = counts.limit(len(classes) ** 2 + 100).collect()
-    strange = sorted({str(r["label"]) for r in rows if r["label"] not in set(classes)})
-    if strange:
-        raise ValueError(f"labels the model was not fitted on: {strange}")
+    counts, _ = settle_any(counts)
+    strange = counts.filter(F.col("label").isNull() | ~F.col("label").isin(list(classes)))
+    strange = strange.select(F.col("label").cast("string").alias("label")).distinct()
+    found = strange.count()
+    if found:
+        named = [str(r["label"]) for r in strange.orderBy("label").limit(NAMED).collect()]
+        rest = f" and {found - NAMED} more" if found > NAMED else ""
+        raise ValueError(f"labels the model was not fitted on: {sorted(named)}{rest}")
+    rows = counts.collect()  # known labels: at most classes x classes rows
     local = small_table(df.sparkSession, [tuple(r) for r in rows], counts.schema)
     return metrics_from_counts(local, classes)
 

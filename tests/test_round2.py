@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.errors import ArtifactError
+from tabwright.operators.metrics import evaluate_predictions
 from tabwright.operators.profile import ProfileSpec, choose_columns
 from tabwright.operators.score import probability_names
 from tabwright.operators.split import SplitSpec, split_table
@@ -141,6 +142,17 @@ def test_probability_names_take_the_next_free_number():
     assert len(set(probability_names(["x y", "x-y", "x_y"], []))) == 3
 
 
+def test_unknown_labels_are_all_counted_and_named_in_order(spark):
+    rows = spark.range(500).select(F.format_string("u%03d", "id").alias("y"), F.lit("a").alias("p"))
+    rows = rows.union(spark.createDataFrame([("a", "a"), ("b", "a")], "y string, p string"))
+    with pytest.raises(ValueError) as caught:
+        evaluate_predictions(rows.repartition(7), "y", "p", ["a", "b"])
+    first = [f"u{i:03d}" for i in range(100)]
+    assert str(caught.value) == f"labels the model was not fitted on: {first} and 400 more"
+    known = evaluate_predictions(rows.filter("y in ('a', 'b')"), "y", "p", ["a", "b"])
+    assert known["confusion_matrix"] == [[1, 0], [1, 0]]
+
+
 def test_the_forest_query_fits_the_full_forest(monkeypatch):
     seen = []
     monkeypatch.setattr(training, "_features", lambda spark, sf_dir: None)

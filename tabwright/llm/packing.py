@@ -124,12 +124,17 @@ def pack_documents(
     path: str | None = None,
     group_documents: int = 50_000,
     open_bins: int = 16_384,
+    group_bytes: int = 512 << 20,
 ) -> DataFrame:
     """One row per piece: where a document's ids lie in which sequence.
 
     Null and empty texts are the closing id alone. Only documents longer than ``limit`` are
     cut. The number of parts that are packed apart follows the number of documents
-    (``group_documents``), since each part leaves its last bins partly empty.
+    (``group_documents``) or, where that gives more, the bytes of the texts
+    (``group_bytes``); each part leaves its last bins partly empty.
     """
-    groups = max(1, math.ceil(docs.count() / group_documents))
+    documents, size = docs.agg(
+        F.count("*"), F.sum(F.octet_length(F.col("text").cast("string")))
+    ).first()
+    groups = max(1, math.ceil(documents / group_documents), math.ceil((size or 0) / group_bytes))
     return pack(token_pieces(docs, limit, path), groups, limit, open_bins)

@@ -156,6 +156,13 @@ def brute_base(pairs):
     return sorted(out, key=str)
 
 
+def test_long_texts_add_parts_to_packing(spark):
+    docs = make_docs(spark, [(i, prose(i, 3000)) for i in range(4)])
+    parts = lambda **kw: {r.sequence_id >> 40 for r in packing.pack_documents(docs, **kw).collect()}
+    assert parts() == {0}
+    assert len(parts(group_bytes=10_000)) > 1
+
+
 def test_pitman_yor_counts_and_scores(spark, edges, no_docs):
     report = pitman.score_report(edges, pitman.ModelSpec(classes=64, shard_tokens=2000)).collect()
     got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in report), key=str)

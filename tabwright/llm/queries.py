@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lengths, licences, linecrf, lzprint, packing, pitman, rules, simhash, sql, suffixes, unigram
+from . import lengths, licences, linecrf, lzprint, merkle, packing, pitman, rules, simhash, sql, suffixes, unigram
 from .common import read_table
 
 QUERIES = {}
@@ -79,3 +79,12 @@ def op2_suffix_array_dedup(spark, sf_dir):
 def op9_lm_scoring(spark, sf_dir):
     """Score of every document under a hierarchical Pitman-Yor model of the corpus."""
     return pitman.score_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaf, roots and proof of every document, and the root folded from its tampered form."""
+    return merkle.proof_report(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = sql.merkle_sql()

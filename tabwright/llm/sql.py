@@ -109,3 +109,58 @@ WITH t(license_id, g) AS (VALUES {rows}
 SELECT doc_id, license_id, count(*) AS n_segments, max(dice) AS best_dice
 FROM m WHERE dice >= {least} GROUP BY ALL
 """
+
+
+def merkle_sql() -> str:
+    """Trees of leaves by language and the tree of their tops, level by level."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+    fields = ", ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    shift = "lambda v, z: xor(v >> 1, 3988292384::UBIGINT * (v & 1))"
+    step = f"lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), {shift})"
+    digits = "list_transform(range(1, strlen(doc_id::VARCHAR) + 1), lambda i: ord((doc_id::VARCHAR)[i])::UBIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {digits}), {step}), 4294967295::UBIGINT)"
+    parent = "SELECT {tree} lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 7) // 8"
+    climb = """SELECT w.k, {tree} w.lvl + 1, w.idx // 8, w.leaf,
+    sha256(string_agg(CASE WHEN s.idx = w.idx THEN w.folded ELSE s.h END, '' ORDER BY s.idx)),
+    w.proof || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx <> w.idx), '') {top}"""
+    return rf"""
+WITH RECURSIVE raw AS (
+  SELECT row_number() OVER () AS k, lang, doc_id, sha256(concat({fields}, {field.format('text')})) AS leaf,
+    CASE WHEN {crc} % 3 = 0 THEN sha256(concat({fields}, {field.format(lower)})) END AS altered
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n FROM raw
+), nodes AS (
+  SELECT lang, 0 AS lvl, idx, leaf AS h, n FROM leaves
+  UNION ALL
+  {parent.format(tree='lang,')} FROM nodes WHERE n > 1 GROUP BY lang, lvl, idx // 8
+), subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), upper_nodes AS (
+  SELECT 0 AS lvl, idx, h, n FROM subroots
+  UNION ALL
+  {parent.format(tree='')} FROM upper_nodes WHERE n > 1 GROUP BY lvl, idx // 8
+), walk AS (
+  SELECT k, lang, 0 AS lvl, idx, leaf, coalesce(altered, leaf) AS folded, '' AS proof, n = 1 AS done FROM leaves
+  UNION ALL
+  {climb.format(tree='w.lang,', top=', any_value(s.n) <= 8')} FROM walk w
+  JOIN nodes s ON s.lang IS NOT DISTINCT FROM w.lang AND s.lvl = w.lvl AND s.idx // 8 = w.idx // 8
+  WHERE NOT w.done GROUP BY w.k, w.lang, w.lvl, w.idx, w.leaf, w.folded, w.proof
+), upper_walk AS (
+  SELECT w.k, 0 AS lvl, s.idx, w.leaf, w.folded, w.proof, s.n = 1 AS done
+  FROM walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.done
+  UNION ALL
+  {climb.format(tree='', top=', any_value(s.n) <= 8')} FROM upper_walk w
+  JOIN upper_nodes s ON s.lvl = w.lvl AND s.idx // 8 = w.idx // 8
+  WHERE NOT w.done GROUP BY w.k, w.lvl, w.idx, w.leaf, w.folded, w.proof
+)
+SELECT l.doc_id, w.leaf, s.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256,
+  w.folded AS folded_root, w.folded = r.h AS verified
+FROM upper_walk w JOIN leaves l USING (k)
+JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+CROSS JOIN (SELECT h FROM upper_nodes WHERE n = 1) r
+WHERE w.done
+"""

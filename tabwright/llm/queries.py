@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import lengths, licences, linecrf, lzprint, merkle, packing, pitman, rules, simhash, sql, suffixes, unigram
+from . import (
+    lengths,
+    licences,
+    linecrf,
+    lzprint,
+    merkle,
+    packing,
+    pitman,
+    rules,
+    simhash,
+    sql,
+    suffixes,
+    unigram,
+    whitening,
+)
 from .common import read_table
 
 QUERIES = {}
@@ -88,3 +102,9 @@ def op13_merkle_manifest(spark, sf_dir):
 
 
 ORACLES["op13_merkle_manifest"] = sql.merkle_sql()
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    """Sixteen whitened components of every vector, from a bidiagonalisation."""
+    return whitening.whitening_report(read_table(spark, sf_dir, "embeddings"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -67,3 +70,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def kept_by_worker(key, make):
+    """``make()`` once in the life of a Python worker; later tasks find it again.
+
+    Functions shipped by value get new globals with every task, so what is costly to build is
+    kept in a module of its own.
+    """
+    name = "kept_by_worker_"
+    if name not in sys.modules:
+        sys.modules[name] = ModuleType(name)
+        sys.modules[name].found = {}
+    found = sys.modules[name].found
+    if key not in found:
+        found[key] = make()
+    return found[key]

@@ -14,6 +14,7 @@ from . import (
     simhash,
     sql,
     suffixes,
+    tiers,
     unigram,
     whitening,
 )
@@ -108,3 +109,9 @@ ORACLES["op13_merkle_manifest"] = sql.merkle_sql()
 def op12_embedding_whitening(spark, sf_dir):
     """Sixteen whitened components of every vector, from a bidiagonalisation."""
     return whitening.whitening_report(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_tier_packing(spark, sf_dir):
+    """Every piece of every document and its place in a window of one of several lengths."""
+    return tiers.placement_report(read_table(spark, sf_dir, "documents"))

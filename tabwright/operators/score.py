@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabwright.errors import ArtifactError
 from tabwright.functions import safe_label
-from tabwright.operators.rownum import number_rows
+from tabwright.operators.rownum import number_rows, number_scan_rows
 from tabwright.operators.schema import nulls_only, quoted, repeated_names, require_columns
 
 
@@ -44,12 +44,14 @@ def score_table(
     include_probabilities: bool = True,
     key_columns=(),
     keep=None,
+    from_files: bool = False,
 ) -> ScoreResult:
     """Add the predicted label and one probability per class.
 
     Without input columns the output has ``key_columns``, or a 0-based
     ``source_row`` when there are none. ``keep`` names the input columns to
-    return when not all of them.
+    return when not all of them. ``from_files`` says that ``df`` is read from files and not
+    shuffled since, so its rows are numbered in file order without writing them.
     """
     if repeated_names(df.columns):
         raise ValueError(f"column names are used twice: {repeated_names(df.columns)}")
@@ -63,7 +65,7 @@ def score_table(
         require_columns(df, key_columns, "row keys")
         out = list(key_columns)
     else:
-        df = number_rows(df, "source_row")
+        df = (number_scan_rows if from_files else number_rows)(df, "source_row")
         out = ["source_row"]
     if target in out:
         raise ValueError(f"column {target!r} is already in the table")

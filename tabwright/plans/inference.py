@@ -66,6 +66,7 @@ def score_with_recipe(
     include_probabilities: bool = True,
     key_columns=(),
     ignore_missing_drops: bool = False,
+    from_files: bool = False,
 ) -> ScoreResult:
     """Original columns plus prediction and probabilities.
 
@@ -87,6 +88,7 @@ def score_with_recipe(
         include_probabilities=include_probabilities,
         key_columns=key_columns,
         keep=originals,
+        from_files=from_files,
     )
 
 
@@ -154,6 +156,7 @@ def run_inference(
         include_input=include_input,
         include_probabilities=include_probabilities,
         key_columns=key_columns,
+        from_files=True,
     )
     write_table(result.frame, output, overwrite=overwrite, allowed=("csv", "parquet"))
     return InferenceRun(
@@ -166,7 +169,9 @@ def score_path(spark, data: str, model: str, output: str, *, overwrite=False, re
     """Score a stored feature table with a stored model."""
     protect_outputs(spark, [output], [data, model], overwrite)
     result = score_table(
-        read_table(spark, data, **(reading or {})), load_artifact(spark, model), **options
+        read_table(spark, data, **(reading or {})),
+        load_artifact(spark, model),
+        **{"from_files": True, **options},
     )
     write_table(result.frame, output, overwrite=overwrite, allowed=("csv", "parquet"))
     return result

@@ -13,7 +13,7 @@ from tabwright.functions import is_infinite, normalize_column_name, to_number
 from tabwright.functions.text import strip_text
 from tabwright.operators.clean import all_missing
 from tabwright.operators.counts import as_text, is_missing
-from tabwright.operators.rownum import number_rows
+from tabwright.operators.rownum import number_rows, number_scan_rows
 from tabwright.operators.schema import quoted, repeated_names
 from tabwright.session import small_table
 from tabwright.sources.files import size_in_bytes
@@ -56,8 +56,14 @@ def checked_header(names, max_columns=None) -> list:
 
 
 def with_generated_key(df: DataFrame, spec: StrictSpec, order_by=()) -> DataFrame:
-    """Add the key column as prefix and a zero-padded row number from 1."""
-    numbered = number_rows(df, "key_number_", 1, order_by)
+    """Add the key column as prefix and a zero-padded row number from 1.
+
+    Without ``order_by`` rows of a table read from files are numbered in file order.
+    """
+    if order_by:
+        numbered = number_rows(df, "key_number_", 1, order_by)
+    else:
+        numbered = number_scan_rows(df, "key_number_", 1)
     digits = F.col("key_number_").cast("string")
     padded = F.when(
         F.length(digits) < spec.key_digits, F.lpad(digits, spec.key_digits, "0")
@@ -150,7 +156,7 @@ def read_strict_csv(spark, path: str, spec: StrictSpec, *, multiline: bool = Fal
     if spec.target_column in names:
         warnings.append(f"target column {spec.target_column} was left out")
     kept = [c for c in names if c != spec.target_column]
-    numbered = number_rows(table, "line_", 2)
+    numbered = number_scan_rows(table, "line_", 2)
     rows = numbered.count()
     if rows == 0:
         raise StrictInputError("the file holds no data rows")

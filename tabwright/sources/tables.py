@@ -18,6 +18,7 @@ from tabwright.functions import NA_TOKENS, formula_safe, to_number
 from tabwright.functions.dates import DEFAULT_DATE_FORMATS, parse_timestamp
 from tabwright.functions.text import strip_text
 from tabwright.operators.schema import nulls_only, quoted
+from tabwright.sources.rawbytes import first_and_later_parts
 
 FORMATS = ("csv", "json", "parquet")
 # Values of a boolean CSV column.
@@ -86,25 +87,25 @@ END_MARK = "\u0002end\u0003"
 def csv_records(spark, path, *, multiline=False) -> DataFrame:
     """All cells as text, and in ``ODD_RECORD`` each record with too few or too many of them.
 
-    Every file must have the same header. Repeated and blank headers, which Spark renames,
-    are taken by position.
+    Every file must have the same header; of a large file copied in parts, the first part has
+    it. Repeated and blank headers, which Spark renames, are taken by position.
     """
-    path = str(path)
+    path, others = first_and_later_parts(spark, path)
     names = spark.read.csv(path, header=True, multiLine=multiline, **CSV).columns
     head = spark.read.csv(path, header=False, multiLine=multiline, **CSV).head()
     if len(names) == 1:
         multiline = True  # a broken value cannot be told from two whole ones
     fields = [T.StructField(c, T.StringType()) for c in (*names, ODD_RECORD)]
     # all cells are parsed in every plan, since a pruned record never looks odd
-    return spark.read.schema(T.StructType(fields)).option("columnPruning", False).csv(
-        path,
-        header=True,
-        enforceSchema=head is None or list(head) != names,
-        multiLine=multiline,
-        columnNameOfCorruptRecord=ODD_RECORD,
-        mode="PERMISSIVE",
-        **CSV,
+    reader = (
+        spark.read.schema(T.StructType(fields))
+        .option("columnPruning", False)
+        .options(multiLine=multiline, columnNameOfCorruptRecord=ODD_RECORD, mode="PERMISSIVE")
     )
+    records = reader.csv(path, header=True, enforceSchema=head is None or list(head) != names, **CSV)
+    if others:  # the later parts of one large file have no header
+        records = records.unionByName(reader.csv(others, header=False, **CSV))
+    return records
 
 
 def surplus_cells(record, columns: int):
@@ -149,6 +150,8 @@ def whole_csv(spark, path, *, multiline=False, ragged="error") -> DataFrame:
         raise ValueError("ragged records are an 'error', or 'drop' leaves them out")
     records = csv_records(spark, path, multiline=multiline)
     names = [c for c in records.columns if c != ODD_RECORD]
+    if not names:
+        raise ValueError(f"{path} holds no header")
     odd = F.col(ODD_RECORD)
     long = surplus_cells(odd, len(names))
     start = F.substring(F.concat_ws(" ", odd, quoted(names[0])), 1, 200)

@@ -34,12 +34,14 @@ from tabwright.session import scratch_path, small_table
 from tabwright.sources.strict import (
     StrictSpec,
     as_scoring_input,
+    read_strict_csv,
     violation_counts,
     violations,
     with_generated_key,
 )
 from tabwright.sources.tables import csv_ragged_counts, raw_csv, export_csv, read_table, write_table
-from tabwright.sources.zones import ingest
+from tabwright.sources.rawbytes import WHOLE_BYTES, copy_bytes
+from tabwright.sources.zones import ingest, ingest_bytes, same_bytes
 from tabwright.workloads.registry import (
     CLEAN_CTE,
     DIRTY_COLUMNS,
@@ -74,6 +76,44 @@ def ingest_snapshot(spark, sf_dir):
     return ingest(spark, f"{sf_dir.rstrip('/')}/customer.parquet", raw)[1]
 
 
+# Lines with two cells, a repeated header or a surplus cell, ended by carriage return and feed.
+RAW_LINES = """CASE WHEN c_custkey % 50 = 7 THEN 'key,name' WHEN c_custkey % 10 = 3 THEN c_custkey || ',' || c_name || ',more'
+  ELSE c_custkey || ',"' || c_name || '"' END"""
+
+
+@query(
+    "ingest_bytes",
+    f"""WITH files AS (SELECT 'file=' || (c_custkey % 3) AS file,
+      'key,name' || chr(13) || chr(10) || string_agg({RAW_LINES} || chr(13) || chr(10), '' ORDER BY c_custkey) AS body
+    FROM customer GROUP BY c_custkey % 3)
+  SELECT way, file, CAST(strlen(body) AS BIGINT) AS bytes, sha256(body) AS sha256, true AS same
+  FROM files, (VALUES ('rows'), ('ranges')) AS ways(way)""",
+)
+def ingest_bytes_query(spark, sf_dir):
+    """Three CSV files copied into the raw zone, as whole rows and as ranges of lines."""
+    base = scratch_path(spark, "landing")
+    heads = spark.range(-3, 0).select(F.col("id").alias("c_custkey"), F.lit("key,name").alias("value"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.expr(RAW_LINES).alias("value"))
+    lines = customers.unionByName(heads).withColumn("file", F.pmod("c_custkey", F.lit(3)))
+    ordered = lines.repartition(3, "file").sortWithinPartitions("file", "c_custkey")
+    ordered.select("value", "file").write.partitionBy("file").option("lineSep", "\r\n").text(base)
+    found = []
+    for way, whole_bytes in (("rows", WHOLE_BYTES), ("ranges", 0)):
+        copy = copy_bytes(spark, base, scratch_path(spark, way), whole_bytes=whole_bytes)
+        seen = same_bytes(spark, base, copy, whole_bytes=whole_bytes)
+        folder = F.substring_index("file", "/", 1).alias("file")
+        found.append(seen.select(F.lit(way).alias("way"), folder, "bytes", "sha256", "same"))
+    return found[0].unionByName(found[1])
+
+
+@query("ingest_bytes_read", CUSTOMER_SQL.replace("c_nationkey", "CAST(c_nationkey AS BIGINT) AS c_nationkey"))
+def ingest_bytes_read(spark, sf_dir):
+    """A CSV copied byte for byte as ranges of lines, then read from its parts."""
+    base = scratch_path(spark, "customers.csv")
+    write_table(table(spark, sf_dir, "customer"), base)
+    return ingest_bytes(spark, base, scratch_path(spark, "raw"), whole_bytes=0)[1]
+
+
 @query("normalized_names", DIRTY_CTE + " SELECT * FROM dirty")
 def normalized_names(spark, sf_dir):
     return normalize_columns(dirty_customer(spark, sf_dir, messy=True))[0]
@@ -243,6 +283,36 @@ def strict_source_typed(spark, sf_dir):
     return df.select("c_custkey", "segment", finite.alias("nation"))
 
 
+UPLOAD_SQL = """SELECT c_name AS "Customer Name", abs(c_acctbal) AS "Balance ($)", ' ' || c_mktsegment || ' ' AS segment,
+  c_nationkey AS nation, c_custkey % 2 AS churned FROM {customer} ORDER BY c_custkey"""
+
+
+@query(
+    "strict_reader",
+    """SELECT 'UPLOAD-' || CASE WHEN n < 100000 THEN lpad(CAST(n AS VARCHAR), 5, '0') ELSE CAST(n AS VARCHAR) END AS key,
+    customer_name, balance, segment, nation
+  FROM (SELECT row_number() OVER (ORDER BY c_custkey) AS n, c_name AS customer_name, abs(c_acctbal) AS balance,
+    c_mktsegment AS segment, CAST(c_nationkey AS DOUBLE) AS nation FROM customer)""",
+)
+def strict_reader(spark, sf_dir):
+    """An upload read strictly: names normalised, target left out, keys numbered in file order."""
+    path = scratch_path(spark, "upload.csv")
+    text = UPLOAD_SQL.replace('"', "`")
+    write_table(shared_sql(spark, sf_dir, text, "customer"), path)
+    spec = StrictSpec(
+        required_columns=("key", "balance", "nation", "segment"),
+        numeric_columns=("balance", "nation"),
+        text_columns=("segment",),
+        nonnegative_columns=("balance", "nation"),
+        target_column="churned",
+        key_column="key",
+    )
+    frame, warnings = read_strict_csv(spark, path, spec)
+    if len(warnings) != 3:
+        raise ValueError(f"expected a dropped target, an extra column and keys: {warnings}")
+    return frame
+
+
 @query(
     "upload_key_generation",
     """SELECT c_custkey, c_mktsegment, 'UPLOAD-' || CASE WHEN n < 100000

@@ -173,7 +173,7 @@ def score_known_rows(spark, sf_dir):
 def score_source_rows(spark, sf_dir):
     """Output without input columns is numbered 0, 1, 2, … without gaps."""
     resources = load_resources(spark, *_stored_model(spark, sf_dir))
-    result = score_with_recipe(_orders(spark, sf_dir), resources, include_input=False)
+    result = score_with_recipe(_orders(spark, sf_dir), resources, include_input=False, from_files=True)
     return result.frame.agg(
         F.count("*").alias("rows"),
         F.min("source_row").alias("first_row"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import chain, count
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,9 +69,10 @@ def score_table(
     if target in out:
         raise ValueError(f"column {target!r} is already in the table")
 
-    scored = artifact.pipeline.transform(nulls_only(df))
+    scored = artifact.transform(nulls_only(df))
     classes = list(artifact.classes)
-    fitted = getattr(artifact.pipeline.stages[-1], "numClasses", len(classes))
+    last = artifact.pipeline.stages[-1] if artifact.forest is None else None
+    fitted = artifact.forest.classes if last is None else getattr(last, "numClasses", len(classes))
     if fitted != len(classes):
         raise ArtifactError("the model and its description have different class counts")
     label = F.element_at(
@@ -82,8 +82,7 @@ def score_table(
     outputs = [quoted(c) for c in out] + [label.alias(target)]
     if include_probabilities:
         names = probability_names(classes, [*out, target])
-        p = vector_to_array("probability")
-        outputs += [F.get(p, F.lit(i)).alias(n) for i, n in enumerate(names)]
+        outputs += [F.get("probability", F.lit(i)).alias(n) for i, n in enumerate(names)]
     return ScoreResult(scored.select(*outputs), target, tuple(names))
 
 

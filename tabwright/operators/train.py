@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.counts import is_missing
+from tabwright.operators.forest import ForestSpec, fit_forest
 from tabwright.operators.preprocess import (
     empty_features,
     feature_frame,
@@ -21,13 +22,16 @@ from tabwright.operators.schema import nulls_only, quoted, require_columns, trai
 from tabwright.session import shared_dir
 from tabwright.sources.artifacts import ModelArtifact
 
-MODEL_TYPES = ("logistic_regression", "random_forest")
+MODEL_TYPES = ("logistic_regression", "random_forest", "exact_forest")
 # Deepest tree Spark can grow; stands for unlimited depth.
 DEEPEST = 30
 
 
 @dataclass(frozen=True)
 class TrainSpec:
+    """``random_forest`` is Spark ML's (binned thresholds, depth 30 at most); ``exact_forest``
+    has neither limit and reads ``bootstrap`` and ``subtree_bytes``."""
+
     target_column: str
     model_type: str = "logistic_regression"
     seed: int = 42
@@ -39,6 +43,8 @@ class TrainSpec:
     class_weight: str | None = "balanced"
     inverse_regularization: float = 1.0
     tolerance: float = 1e-6
+    bootstrap: bool = True
+    subtree_bytes: int = ForestSpec.subtree_bytes
 
     def __post_init__(self):
         if self.model_type not in MODEL_TYPES:
@@ -122,7 +128,12 @@ def fit_model(train: DataFrame, spec: TrainSpec):
         weight.alias("tw_weight"),
     )
     columns = dict(featuresCol="tw_features", labelCol="tw_label", weightCol="tw_weight")
-    if spec.model_type == "logistic_regression":
+    forest = None
+    if spec.model_type == "exact_forest":
+        own = [weights[c] if spec.class_weight == "balanced" else 1.0 for c in classes]
+        grown = ForestSpec(spec.n_estimators, spec.seed, spec.bootstrap, spec.subtree_bytes)
+        forest, last = fit_forest(matrix, own, grown)
+    elif spec.model_type == "logistic_regression":
         # Spark averages the loss over the weights, whose sum is the row count
         # in both weighting modes; dividing the penalty the same way gives
         # sum(w * loss) + |b|^2 / (2 C).
@@ -148,9 +159,10 @@ def fit_model(train: DataFrame, spec: TrainSpec):
             cacheNodeIds=True,
             maxMemoryInMB=512,
         )
-    fitted = without_summary(estimator.fit(matrix))
+    if forest is None:
+        last = [without_summary(estimator.fit(matrix))]
     artifact = ModelArtifact(
-        pipeline=PipelineModel([*stages, fitted]),
+        pipeline=PipelineModel([*stages, *last]),
         target_column=spec.target_column,
         feature_columns=tuple(features),
         numeric_columns=tuple(numeric),
@@ -159,5 +171,6 @@ def fit_model(train: DataFrame, spec: TrainSpec):
         model_type=spec.model_type,
         random_state=spec.seed,
         categories={c: tuple(plan.categories[c]) for c in categorical},
+        forest=forest,
     )
     return artifact, total, tuple(warnings)

@@ -6,10 +6,12 @@ import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.errors import ArtifactError
+from tabwright.operators.forest import Forest
 from tabwright.sources.files import exists, read_json, write_json
 
 # --- fixed values: the model description format ------------------------------
@@ -39,6 +41,7 @@ class ModelArtifact:
     model_type: str
     random_state: int
     categories: dict = field(default_factory=dict)
+    forest: Forest | None = None
 
     def description(self) -> dict:
         return {
@@ -51,8 +54,16 @@ class ModelArtifact:
             "model_type": self.model_type,
             "random_state": self.random_state,
             "categories": {c: list(v) for c, v in self.categories.items()},
+            **({"forest": self.forest.description()} if self.forest else {}),
         }
 
+    def transform(self, df):
+        """``df`` with ``prediction`` and ``probability`` (an array, one entry per class)."""
+        scored = self.pipeline.transform(df)
+        if self.forest is not None:
+            return self.forest.add_probabilities(scored)
+        return scored.withColumn("probability", vector_to_array("probability"))
+
     def fitted_categories(self) -> dict:
         """Non-blank categories per categorical feature, sorted."""
         return {
@@ -66,6 +77,9 @@ def save_artifact(spark, artifact: ModelArtifact, path: str, *, overwrite=False)
         raise FileExistsError(f"a model exists already at {path}")
     writer = artifact.pipeline.write()
     (writer.overwrite() if overwrite else writer).save(f"{path}/pipeline")
+    if artifact.forest is not None:
+        trees = spark.read.parquet(artifact.forest.path)
+        trees.write.mode("overwrite").parquet(f"{path}/forest")
     write_json(spark, artifact.description(), f"{path}/artifact.json")
 
 
@@ -91,6 +105,7 @@ def load_artifact(spark: SparkSession, path: str) -> ModelArtifact:
         model_type=data["model_type"],
         random_state=data["random_state"],
         categories={c: tuple(v) for c, v in data.get("categories", {}).items()},
+        forest=Forest(f"{path}/forest", **data["forest"]) if "forest" in data else None,
     )
 
 

@@ -1,12 +1,18 @@
 """Imputation, scaling and one-hot encoding fitted exactly on training rows.
 
 Fitted constants are compiled into a ``SQLTransformer`` and ready-made ML
-models, so scoring is row-local and nothing is fitted again.
+models, so scoring is row-local and nothing is fitted again. Columns with more than
+``LISTED`` categories keep them in a table, the dictionary, and rows get their place in it by a
+join; such categories never pass through the driver.
+
+All statistics come from three passes: counts of every category and class in long form, one
+aggregate of counts, moments and ranges of the numbers, and one that reads off the medians.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -22,10 +28,14 @@ from pyspark.sql import types as T
 from tabwright.operators.counts import is_missing, value_counts
 from tabwright.operators.profile import wide_categories
 from tabwright.operators.quantiles import exact_medians
+from tabwright.operators.rownum import number_rows
 from tabwright.operators.schema import FLOATING, quoted, require_columns
+from tabwright.session import scratch_path, settle_any
 
-# Widest one-hot block; more categories than this are an error, never cut off.
-MAX_ONEHOT_WIDTH = 100_000
+# Categories of a column that the model itself lists; a column with more has a dictionary.
+LISTED = 20_000
+# Largest dictionary that is broadcast; larger ones are joined by a shuffle.
+BROADCAST_CATEGORIES = 50_000
 # Identifier warning: this many distinct values and this share of the rows.
 WIDE_DISTINCT = 100
 
@@ -58,6 +68,44 @@ def number_of(f: T.StructField):
     return c.cast("double")
 
 
+@dataclass(frozen=True)
+class Dictionary:
+    """(column, value, slot) at ``path``: the categories of wide columns, numbered in order.
+
+    ``places`` gives each column's place among the categorical features, ``modes`` what fills
+    its gaps.
+    """
+
+    path: str
+    sizes: dict
+    places: dict
+    modes: dict
+
+    def description(self) -> dict:
+        return {"sizes": self.sizes, "places": self.places, "modes": self.modes}
+
+    def add_slots(self, df: DataFrame) -> DataFrame:
+        """``df`` with the slot of every wide column; an unknown category gets the last one."""
+        words = df.sparkSession.read.parquet(self.path)
+        for c, size in self.sizes.items():
+            own = words.filter(F.col("column") == c).select(
+                F.col("value").alias("tw_value"), F.col("slot").alias("tw_slot")
+            )
+            own = F.broadcast(own) if size <= BROADCAST_CATEGORIES else own
+            key = F.coalesce(quoted(c).cast("string"), F.lit(self.modes[c]))
+            slot = F.coalesce("tw_slot", F.lit(size)).cast("double").alias(f"tw_idx_{self.places[c]}")
+            df = df.join(own, key == F.col("tw_value"), "left").select(*map(quoted, df.columns), slot)
+        return df
+
+    def sample(self, df: DataFrame) -> DataFrame:
+        """``df`` with slot columns that carry nothing but the number of slots."""
+        for c, size in self.sizes.items():
+            kind = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
+            df = df.withColumns({f"tw_idx_{self.places[c]}": F.lit(0.0)})
+            df = df.withMetadata(f"tw_idx_{self.places[c]}", kind)
+        return df
+
+
 @dataclass(frozen=True)
 class Preprocessing:
     numeric: tuple
@@ -67,6 +115,12 @@ class Preprocessing:
     scales: dict
     modes: dict
     categories: dict
+    dictionary: Dictionary | None = None
+
+    def width(self) -> int:
+        """Columns of the feature vector."""
+        listed = sum(len(self.categories[c]) for c in self.categorical if c in self.categories)
+        return len(self.numeric) + listed + (sum(self.dictionary.sizes.values()) if self.dictionary else 0)
 
     def scaled(self, name: str, dtype: T.DataType):
         """(x - mean) / scale of a numeric feature, gaps filled by the median."""
@@ -83,9 +137,10 @@ class Preprocessing:
                 f"({filled} - {_double(self.means[c])}) / {_double(self.scales[c])} AS tw_num_{i}"
             )
         for i, c in enumerate(self.categorical):
-            parts.append(
-                f"coalesce(CAST({_name(c)} AS STRING), {_text(self.modes[c])}) AS tw_cat_{i}"
-            )
+            if c in self.categories:
+                parts.append(
+                    f"coalesce(CAST({_name(c)} AS STRING), {_text(self.modes[c])}) AS tw_cat_{i}"
+                )
         return f"SELECT {', '.join(parts)} FROM __THIS__"
 
     def transformers(self, sample: DataFrame) -> list:
@@ -106,7 +161,10 @@ class Preprocessing:
                     handleInvalid="keep",
                 )
                 for i, c in enumerate(self.categorical)
+                if c in self.categories
             ]
+            if self.dictionary:
+                sample = self.dictionary.sample(sample)
             encoder = OneHotEncoder(
                 inputCols=[f"tw_idx_{i}" for i in k],
                 outputCols=[f"tw_hot_{i}" for i in k],
@@ -167,31 +225,120 @@ def scale_statistics(df: DataFrame, medians: dict) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """What training needs to know of its rows, from ``training_statistics``.
+
+    ``counts`` has (column, value, n) of the target and all categorical features, ``sizes``
+    {column: (distinct values, rows with a value, most frequent value)} of the same columns and
+    ``numbers`` {column: (rows with a value, mean, squared deviations, least, greatest)}.
+    """
+
+    rows: int
+    counts: DataFrame
+    sizes: dict
+    numbers: dict = field(default_factory=dict)
+
+    def empty(self) -> list:
+        """Columns without a single value."""
+        return [c for c, (_, n, _) in self.sizes.items() if not n] + [
+            c for c, v in self.numbers.items() if not v[0]
+        ]
+
+    def scale(self, column: str, median: float) -> tuple[float, float]:
+        """(mean, population deviation, 1 for a constant) after gaps are filled by the median.
+
+        Filled rows are a second group of equal values, whose moments merge with the first's.
+        """
+        n, mean, squares, low, high = self.numbers[column]
+        gaps = self.rows - n
+        filled = mean + (median - mean) * gaps / self.rows
+        total = squares + (median - mean) ** 2 * n * gaps / self.rows
+        deviation = math.sqrt(max(total, 0.0) / self.rows)
+        return filled, 1.0 if low == high or not deviation else deviation
+
+
+def training_statistics(df: DataFrame, numeric, categorical, target=None) -> Statistics:
+    """Counts of classes and categories, gaps and moments: two passes whatever the columns."""
+    fields = {f.name: f for f in df.schema.fields}
+    texts = [*categorical, *([target] if target is not None else [])]
+    rows, numbers, counts, sizes = None, {}, None, {}
+    if texts:
+        counts, _ = settle_any(value_counts(df, texts))
+        best = F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("minus"), "value")))
+        summary = counts.groupBy("column").agg(
+            F.count("value").alias("distinct"),
+            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("present"),
+            F.sum("n").alias("rows"),
+            best.alias("best"),  # ties go to the smallest value
+        )
+        seen = {r["column"]: r for r in summary.collect()}
+        sizes = {
+            c: (seen[c]["distinct"], seen[c]["present"], seen[c]["best"] and seen[c]["best"]["value"])
+            if c in seen
+            else (0, 0, None)
+            for c in texts
+        }
+        rows = max((r["rows"] for r in seen.values()), default=0)
+    if numeric or rows is None:
+        values = [number_of(fields[c]) for c in numeric]
+        kinds = (F.count, F.avg, F.var_pop, F.min, F.max)
+        found = df.agg(
+            F.count("*").alias("rows"),
+            *[f(x).alias(f"v{i}_{k}") for i, x in enumerate(values) for k, f in enumerate(kinds)],
+        ).first()
+        rows = found["rows"]
+        for i, c in enumerate(numeric):
+            n, mean, variance, low, high = (found[f"v{i}_{k}"] for k in range(5))
+            numbers[c] = (n, mean, (variance or 0.0) * n, low, high)
+    return Statistics(rows, counts, sizes, numbers)
+
+
 def fit_preprocessing(
-    train: DataFrame, numeric, categorical, *, max_width: int = MAX_ONEHOT_WIDTH
+    train: DataFrame, numeric, categorical, *, max_width: int | None = None,
+    statistics: Statistics | None = None, listed: int = LISTED,
 ) -> Preprocessing:
-    """Medians, means, population scales, modes and categories of ``train``."""
+    """Medians, means, population scales, modes and categories of ``train``.
+
+    More one-hot columns than ``max_width`` are an error, never cut off.
+    """
     numeric, categorical = tuple(numeric), tuple(categorical)
+    if not numeric and not categorical:
+        return Preprocessing((), (), {}, {}, {}, {}, {})
+    known = statistics or training_statistics(train, numeric, categorical)
     medians, means, scales = {}, {}, {}
     if numeric:
-        medians = exact_medians(train, numeric)
-        for r in scale_statistics(train, medians).collect():
-            means[r["column"]], scales[r["column"]] = r["mean"], r["scale"]
-    top, categories = {}, {}
-    if categorical:
-        counts = value_counts(train, categorical).filter("value is not null")
-        rows = counts.limit(max_width + 1).collect()
-        if len(rows) > max_width:
-            raise ValueError(
-                f"one-hot encoding needs more than {max_width} columns; "
-                "drop identifier-like features or raise max_width"
-            )
-        for r in rows:
-            categories.setdefault(r["column"], []).append((r["value"], r["n"]))
-        # ties go to the smallest value
-        top = {c: min(v, key=lambda x: (-x[1], x[0]))[0] for c, v in categories.items()}
-        categories = {c: sorted(x for x, _ in v) for c, v in categories.items()}
-    return Preprocessing(numeric, categorical, medians, means, scales, top, categories)
+        medians = exact_medians(train, numeric, sizes={c: known.numbers[c][0] for c in numeric})
+        for c in numeric:
+            if medians[c] is None:
+                means[c] = scales[c] = None
+            else:
+                means[c], scales[c] = known.scale(c, medians[c])
+    distinct = {c: known.sizes[c][0] for c in categorical}
+    if max_width is not None and sum(distinct.values()) > max_width:
+        raise ValueError(
+            f"one-hot encoding needs more than {max_width} columns; "
+            "drop identifier-like features or raise max_width"
+        )
+    modes = {c: known.sizes[c][2] for c in categorical if known.sizes[c][2] is not None}
+    wide = [c for c in categorical if distinct[c] > listed]
+    categories = {c: [] for c in categorical if c not in wide and distinct[c]}
+    if categories:
+        present = known.counts.filter(F.col("column").isin(list(categories)) & F.col("value").isNotNull())
+        for r in present.select("column", "value").collect():
+            categories[r["column"]].append(r["value"])
+        categories = {c: sorted(v) for c, v in categories.items()}
+    dictionary = None
+    if wide:
+        path = scratch_path(train.sparkSession, "dictionary")
+        for c in wide:
+            words = known.counts.filter((F.col("column") == c) & F.col("value").isNotNull())
+            numbered = number_rows(words.select("column", "value"), "slot", 0, ["value"])
+            numbered.write.mode("append").parquet(path)
+        dictionary = Dictionary(
+            path, {c: distinct[c] for c in wide}, {c: categorical.index(c) for c in wide}, {c: modes[c] for c in wide}
+        )
+    return Preprocessing(numeric, categorical, medians, means, scales, modes, categories, dictionary)
 
 
 def class_weights(counts: DataFrame) -> DataFrame:

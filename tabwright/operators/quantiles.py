@@ -151,17 +151,19 @@ def _pick(df: DataFrame, intervals, found: dict) -> None:
 
 
 def exact_percentiles(
-    df: DataFrame, columns, probabilities, *, small_rows: int = SMALL_COLUMN_ROWS
+    df: DataFrame, columns, probabilities, *, small_rows: int = SMALL_COLUMN_ROWS, sizes=None
 ) -> dict:
     """{column: [value per probability]} with linear interpolation.
 
-    NULL and NaN are ignored; a column without values gives ``None`` entries.
+    NULL and NaN are ignored; a column without values gives ``None`` entries. ``sizes``, the
+    number of values per column, is counted unless given.
     """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
     data = _numbers(df, columns)
-    sizes = data.agg(*[F.count(quoted(c)).alias(c) for c in columns]).first().asDict()
+    if sizes is None:
+        sizes = data.agg(*[F.count(quoted(c)).alias(c) for c in columns]).first().asDict()
     spots = {
         (c, j): p * (sizes[c] - 1)
         for c in columns

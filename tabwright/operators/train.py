@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tabwright.operators.counts import is_missing
 from tabwright.operators.forest import ForestSpec, fit_forest
 from tabwright.operators.preprocess import (
-    empty_features,
+    LISTED,
+    WIDE_DISTINCT,
     feature_frame,
     fit_preprocessing,
-    wide_features,
+    training_statistics,
 )
 from tabwright.operators.schema import nulls_only, quoted, require_columns, training_roles
 from tabwright.session import shared_dir
@@ -30,7 +31,8 @@ DEEPEST = 30
 @dataclass(frozen=True)
 class TrainSpec:
     """``random_forest`` is Spark ML's (binned thresholds, depth 30 at most); ``exact_forest``
-    has neither limit and reads ``bootstrap`` and ``subtree_bytes``."""
+    has neither limit and reads ``bootstrap`` and ``subtree_bytes``. A category with more than
+    ``listed`` values is encoded through a dictionary table."""
 
     target_column: str
     model_type: str = "logistic_regression"
@@ -45,6 +47,7 @@ class TrainSpec:
     tolerance: float = 1e-6
     bootstrap: bool = True
     subtree_bytes: int = ForestSpec.subtree_bytes
+    listed: int = LISTED
 
     def __post_init__(self):
         if self.model_type not in MODEL_TYPES:
@@ -62,13 +65,13 @@ def with_target(df: DataFrame, target: str) -> DataFrame:
     return df.filter(~is_missing(field))
 
 
-def target_counts(df: DataFrame, target: str, most: int = 10_000) -> dict:
+def class_sizes(statistics, field, most: int = 10_000) -> dict:
     """{class: rows} in sorted class order; an error when the target is
     continuous, so the driver never sees more than ``most`` classes."""
-    counts = df.groupBy(quoted(target).alias("label")).agg(F.count("*").alias("n"))
-    rows = counts.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"the target {target!r} has more than {most} classes")
+    if statistics.sizes[field.name][0] > most:
+        raise ValueError(f"the target {field.name!r} has more than {most} classes")
+    own = statistics.counts.filter((F.col("column") == field.name) & F.col("value").isNotNull())
+    rows = own.select(F.col("value").cast(field.dataType).alias("label"), "n").collect()
     return dict(sorted((r["label"], r["n"]) for r in rows))
 
 
@@ -91,24 +94,26 @@ def fit_model(train: DataFrame, spec: TrainSpec):
     if not features:
         raise ValueError("there are no feature columns")
     numeric, categorical = training_roles(rows, spec.target_column)
-    per_class = target_counts(rows, spec.target_column)
+    field = {f.name: f for f in rows.schema.fields}[spec.target_column]
+    known = training_statistics(rows, numeric, categorical, spec.target_column)
+    per_class = class_sizes(known, field)
     total = sum(per_class.values())
     if not total:
         raise ValueError("no training row has a target value")
     if len(per_class) < 2:
         raise ValueError("the target needs at least two classes")
-    empty = empty_features(rows, features)
+    empty = [c for c in features if c in known.empty()]
     if empty:
         raise ValueError(f"these features have no values at all: {empty}")
+    wide = [c for c in categorical if known.sizes[c][0] > max(WIDE_DISTINCT, 0.5 * total)]
     warnings = [
-        f"{c} has {n} distinct values; drop identifiers before training"
-        for c, n in wide_features(rows, categorical).items()
+        f"{c} has {known.sizes[c][0]} distinct values; drop identifiers before training" for c in wide
     ]
 
-    plan = fit_preprocessing(rows, numeric, categorical)
+    plan = fit_preprocessing(rows, numeric, categorical, statistics=known, listed=spec.listed)
     stages = plan.transformers(feature_frame(rows, features))
     classes = list(per_class)
-    width = len(plan.numeric) + sum(len(plan.categories[c]) for c in plan.categorical)
+    width = plan.width()
     if width * len(classes) > spec.most_coefficients:
         raise ValueError(
             f"{width} feature columns for {len(classes)} classes are more than "
@@ -122,7 +127,8 @@ def fit_model(train: DataFrame, spec: TrainSpec):
         weight = F.element_at(
             F.array(*[F.lit(weights[c]) for c in classes]), (label + 1).cast("int")
         )
-    matrix = PipelineModel(stages).transform(rows).select(
+    slotted = plan.dictionary.add_slots(rows) if plan.dictionary else rows
+    matrix = PipelineModel(stages).transform(slotted).select(
         "tw_features",
         label.cast("double").alias("tw_label", metadata=nominal),
         weight.alias("tw_weight"),
@@ -170,7 +176,8 @@ def fit_model(train: DataFrame, spec: TrainSpec):
         classes=tuple(classes),
         model_type=spec.model_type,
         random_state=spec.seed,
-        categories={c: tuple(plan.categories[c]) for c in categorical},
+        categories={c: tuple(v) for c, v in plan.categories.items()},
         forest=forest,
+        dictionary=plan.dictionary,
     )
     return artifact, total, tuple(warnings)

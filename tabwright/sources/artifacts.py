@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.errors import ArtifactError
 from tabwright.operators.forest import Forest
+from tabwright.operators.preprocess import Dictionary
 from tabwright.sources.files import exists, read_json, write_json
 
 # --- fixed values: the model description format ------------------------------
@@ -42,6 +43,7 @@ class ModelArtifact:
     random_state: int
     categories: dict = field(default_factory=dict)
     forest: Forest | None = None
+    dictionary: Dictionary | None = None
 
     def description(self) -> dict:
         return {
@@ -55,11 +57,12 @@ class ModelArtifact:
             "random_state": self.random_state,
             "categories": {c: list(v) for c, v in self.categories.items()},
             **({"forest": self.forest.description()} if self.forest else {}),
+            **({"dictionary": self.dictionary.description()} if self.dictionary else {}),
         }
 
     def transform(self, df):
         """``df`` with ``prediction`` and ``probability`` (an array, one entry per class)."""
-        scored = self.pipeline.transform(df)
+        scored = self.pipeline.transform(self.dictionary.add_slots(df) if self.dictionary else df)
         if self.forest is not None:
             return self.forest.add_probabilities(scored)
         return scored.withColumn("probability", vector_to_array("probability"))
@@ -77,9 +80,9 @@ def save_artifact(spark, artifact: ModelArtifact, path: str, *, overwrite=False)
         raise FileExistsError(f"a model exists already at {path}")
     writer = artifact.pipeline.write()
     (writer.overwrite() if overwrite else writer).save(f"{path}/pipeline")
-    if artifact.forest is not None:
-        trees = spark.read.parquet(artifact.forest.path)
-        trees.write.mode("overwrite").parquet(f"{path}/forest")
+    for name, table in (("forest", artifact.forest), ("dictionary", artifact.dictionary)):
+        if table is not None:
+            spark.read.parquet(table.path).write.mode("overwrite").parquet(f"{path}/{name}")
     write_json(spark, artifact.description(), f"{path}/artifact.json")
 
 
@@ -106,6 +109,7 @@ def load_artifact(spark: SparkSession, path: str) -> ModelArtifact:
         random_state=data["random_state"],
         categories={c: tuple(v) for c, v in data.get("categories", {}).items()},
         forest=Forest(f"{path}/forest", **data["forest"]) if "forest" in data else None,
+        dictionary=Dictionary(f"{path}/dictionary", **data["dictionary"]) if "dictionary" in data else None,
     )
 
 

@@ -15,6 +15,8 @@ from tabwright.session import settle_any, small_table
 # --- fixed values -----------------------------------------------------------
 # Probabilities are clipped to [EPSILON, 1 - EPSILON], the double machine epsilon.
 EPSILON = 2.220446049250313e-16
+#: Most classes whose confusion matrix is returned dense and whose labels are literals in a plan.
+DENSE_CLASSES = 1_000
 #: Unknown labels that an error names; it counts the rest.
 NAMED = 100
 # Metrics a quality gate may use.
@@ -154,27 +156,31 @@ def evaluate_predictions(df, label, prediction, classes, probabilities=None) ->
         quoted(label).alias("label"), quoted(prediction).alias("prediction")
     ).agg(F.count("*").alias("n"), *extra)
     counts, _ = settle_any(counts)
-    strange = counts.filter(F.col("label").isNull() | ~F.col("label").isin(list(classes)))
+    if len(classes) <= DENSE_CLASSES:
+        strange = counts.filter(F.col("label").isNull() | ~F.col("label").isin(list(classes)))
+    else:
+        strange = counts.join(class_table(df.sparkSession, classes), "label", "left_anti")
     strange = strange.select(F.col("label").cast("string").alias("label")).distinct()
     found = strange.count()
     if found:
         named = [str(r["label"]) for r in strange.orderBy("label").limit(NAMED).collect()]
         rest = f" and {found - NAMED} more" if found > NAMED else ""
         raise ValueError(f"labels the model was not fitted on: {sorted(named)}{rest}")
-    rows = counts.collect()  # known labels: at most classes x classes rows
-    local = small_table(df.sparkSession, [tuple(r) for r in rows], counts.schema)
-    return metrics_from_counts(local, classes)
+    return metrics_from_counts(counts, classes)
 
 
 def metrics_from_counts(counts: DataFrame, classes) -> dict:
-    """The full metric block from a small (label, prediction, n[, loss]) table."""
+    """The full metric block from a (label, prediction, n[, loss]) table.
+
+    Up to ``DENSE_CLASSES`` classes it holds the dense confusion matrix. For more classes it
+    has ``confusion_cells`` instead, the number of pairs that occur; ``counts`` itself is the
+    sparse matrix and never comes to the driver.
+    """
     classes = list(classes)
     report = class_report(counts, classes)
     per_class = sorted(report.collect(), key=lambda r: r["position"])
     fixed = small_table(counts.sparkSession, [tuple(r) for r in per_class], report.schema)
     total = summary_metrics(fixed).first().asDict()
-    rows = counts.collect()
-    cells = {(r["label"], r["prediction"]): r["n"] for r in rows}
     metrics = {
         k: total[k]
         for k in (
@@ -182,7 +188,11 @@ def metrics_from_counts(counts: DataFrame, classes) -> dict:
         )
     }
     metrics["labels"] = classes
-    metrics["confusion_matrix"] = [[cells.get((a, b), 0) for b in classes] for a in classes]
+    if len(classes) <= DENSE_CLASSES:
+        cells = {(r["label"], r["prediction"]): r["n"] for r in counts.collect()}
+        metrics["confusion_matrix"] = [[cells.get((a, b), 0) for b in classes] for a in classes]
+    else:
+        metrics["confusion_cells"] = counts.filter("n > 0").count()
 
     def block(precision, recall, f1, support):
         return {"precision": precision, "recall": recall, "f1-score": f1, "support": support}
@@ -199,8 +209,8 @@ def metrics_from_counts(counts: DataFrame, classes) -> dict:
     )
     metrics["classification_report"] = details
     if "loss" in counts.columns:
-        n = sum(r["n"] for r in rows)
-        metrics["log_loss"] = sum(r["loss"] for r in rows) / n if n else None
+        loss, n = counts.agg(F.sum("loss"), F.sum("n")).first()
+        metrics["log_loss"] = loss / n if n else None
     return metrics
 
 

@@ -14,10 +14,14 @@ from tabwright.operators.counts import (
     top_categories,
     value_counts,
 )
+from tabwright.operators.gram import blocked_correlations
 from tabwright.operators.quantiles import exact_medians, exact_percentiles
 from tabwright.operators.schema import profile_roles, quoted, require_columns
 from tabwright.session import small_table
 
+#: From this many columns on, correlations come from Gram matrices instead of one expression a sum.
+GRAM_COLUMNS = 32
+
 
 @dataclass(frozen=True)
 class ProfileSpec:
@@ -181,9 +185,11 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     Pearson over rows where both columns have a value; NULL when either is
     constant there. A first aggregate gives each column's mean and gaps, a second
     one sums products of centred values. Columns without gaps share their own
-    sums across all pairs.
+    sums across all pairs. From ``GRAM_COLUMNS`` columns on, ``blocked_correlations`` takes over.
     """
     columns = list(columns)
+    if len(columns) >= GRAM_COLUMNS:
+        return blocked_correlations(numbers(df, columns), columns)
     data = numbers(df, columns)
     first = data.agg(
         F.count("*").alias("rows"),

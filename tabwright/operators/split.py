@@ -7,7 +7,8 @@ and sort the table. Instead only the cut points are found:
 1. count rows per (class, leading hash digits), a small aggregate;
 2. find the digit group that holds each cut and rank just the hashes in it;
 3. compare each row's hash with its class's two cut points, row-local, with a
-   broadcast of at most ``max(20, sqrt(rows))`` classes.
+   broadcast of at most ``max(20, sqrt(rows))`` classes; tables of more than
+   ``BROADCAST_CLASSES`` classes are joined by a shuffle instead.
 
 Quotas are exact for every class and membership depends on nothing but the seed
 and the keys, whatever the partitioning.
@@ -31,6 +32,9 @@ REASONS = {
     "many_classes": "{target} looks continuous or has too many classes; splitting without classes",
     "small_class": "a class of {target} has fewer rows than there are splits; splitting without classes",
 }
+# Largest table of cut points that is broadcast, and copies of each class beyond it.
+BROADCAST_CLASSES = 50_000
+SALTS = 16
 # Per-class figures of up to this many classes are added up on the driver.
 FEW_ENOUGH = 1_000
 # Hash digits counted first, and digits of an md5.
@@ -171,9 +175,14 @@ def _prefix_counts(hashed: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _deepen(hashed: DataFrame, held: DataFrame, length: int) -> DataFrame:
+def _sent(frame: DataFrame, classes: int) -> DataFrame:
+    """A table of a few rows per class: broadcast, or joined by a shuffle when classes are many."""
+    return F.broadcast(frame) if classes <= BROADCAST_CLASSES else frame
+
+
+def _deepen(hashed: DataFrame, held: DataFrame, length: int, classes: int) -> DataFrame:
     """Replace each held prefix by the longer one that holds the same cut."""
-    inside = hashed.join(F.broadcast(held), _inside_held()).groupBy(
+    inside = hashed.join(_sent(held, classes), _inside_held()).groupBy(
         "class", "cut", F.substring("h", 1, length).alias("prefix")
     ).agg(F.count("*").alias("n"), F.first("offset").alias("offset"))
     upto = F.sum("n").over(Window.partitionBy("class", "cut").orderBy("prefix"))
@@ -207,7 +216,7 @@ def _cut_points(hashed: DataFrame, groups: DataFrame, places: DataFrame, classes
     held = (
         groups.withColumn("upto", upto)
         .join(
-            F.broadcast(_long_places(places)), F.col("class").eqNullSafe(F.col("w_class"))
+            _sent(_long_places(places), classes), F.col("class").eqNullSafe(F.col("w_class"))
         )
         .filter("upto - n < place and place <= upto")
         .select(
@@ -227,14 +236,14 @@ def _cut_points(hashed: DataFrame, groups: DataFrame, places: DataFrame, classes
         length = min(HASH_LENGTH, length + max(2, math.ceil(math.log(biggest / GROUP_ROWS, 16))))
         large = held.filter(F.col("size") > GROUP_ROWS)
         held = settle(
-            held.filter(F.col("size") <= GROUP_ROWS).unionByName(_deepen(hashed, large, length)),
+            held.filter(F.col("size") <= GROUP_ROWS).unionByName(_deepen(hashed, large, length, classes)),
             classes,
         )
         if _largest(held, classes) > biggest / 2:
             length = HASH_LENGTH  # copies: their shared hash is one counted row below
 
     inside = (
-        hashed.join(F.broadcast(held), _inside_held())
+        hashed.join(_sent(held, classes), _inside_held())
         .groupBy("class", "cut", "h")
         .agg(F.count("*").alias("n"), F.first("offset").alias("offset"))
     )
@@ -322,11 +331,24 @@ def _place_copies(tied: DataFrame, columns) -> DataFrame:
     )
 
 
+def _with_cuts(rows: DataFrame, class_value, cuts: DataFrame, classes: int) -> DataFrame:
+    """Rows with the cut points of their class.
+
+    Up to ``BROADCAST_CLASSES`` rows of cut points are broadcast. More are shuffled with the
+    rows, each class in ``SALTS`` copies, so the rows of a hot class go to several tasks.
+    """
+    if classes <= BROADCAST_CLASSES:
+        return rows.join(F.broadcast(cuts), class_value.eqNullSafe(F.col("cut_class")))
+    copies = cuts.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    own = F.pmod(F.xxhash64("h"), F.lit(SALTS)) == F.col("salt")
+    return rows.join(copies, class_value.eqNullSafe(F.col("cut_class")) & own).drop("salt")
+
+
 def _assign(df, spec, class_value, key_columns, cuts, classes) -> DataFrame:
     """Row-local comparison of each row's hash with its class's cut points."""
     columns = df.columns
-    placed = df.withColumn("h", row_hash(df, spec.seed, key_columns)).join(
-        F.broadcast(cuts), class_value.eqNullSafe(F.col("cut_class"))
+    placed = _with_cuts(
+        df.withColumn("h", row_hash(df, spec.seed, key_columns)), class_value, cuts, classes
     )
     plain = [quoted(c) for c in columns]
     if not _has_ties(cuts):
@@ -370,8 +392,8 @@ def _assign(df, spec, class_value, key_columns, cuts, classes) -> DataFrame:
     inner_cuts = _cut_points(
         hashed, _prefix_counts(hashed, PREFIX), settle(tie_places, 2 * classes), 2 * classes
     )
-    inner = rows.withColumn("h", row_hash(df, spec.seed)).join(
-        F.broadcast(inner_cuts), F.col("tie_group") == F.col("cut_class")
+    inner = _with_cuts(
+        rows.withColumn("h", row_hash(df, spec.seed)), F.col("tie_group"), inner_cuts, 2 * classes
     )
     return (
         clear.unionByName(
@@ -383,7 +405,7 @@ def _assign(df, spec, class_value, key_columns, cuts, classes) -> DataFrame:
 # Names used while splitting; columns that have them are renamed meanwhile.
 RESERVED = (
     "h", "h1", "h2", "spare1", "spare2", "taken1", "taken2",
-    "cut_class", "tie_group", "copies", "piece", "place", "before",
+    "cut_class", "tie_group", "copies", "piece", "place", "before", "salt",
 )
 
 

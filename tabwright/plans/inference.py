@@ -18,6 +18,7 @@ from tabwright.plans.manifest import (
 )
 from tabwright.sources.artifacts import ModelArtifact, load_artifact
 from tabwright.sources.files import protect_outputs
+from tabwright.sources.publish import finish
 from tabwright.sources.tables import read_table, write_table
 
 STAGES = ("auto", "cleaned", "processed")
@@ -50,6 +51,7 @@ class Resources:
 
 
 def load_resources(spark, model_path: str, manifest_path: str) -> Resources:
+    finish(spark, manifest_path)
     artifact = load_artifact(spark, model_path)
     manifest = load_manifest(spark, manifest_path)
     check_pair(manifest, artifact)
@@ -126,6 +128,7 @@ def run_inference(
     rows hold features and originals; without input columns they hold
     ``key_columns``, or row numbers when there are none.
     """
+    finish(spark, manifest)
     artifact = load_artifact(spark, model)
     table = read_table(spark, data, **reading)
     stage = resolve_stage(input_stage, table.columns, artifact.feature_columns)

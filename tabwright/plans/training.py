@@ -16,6 +16,7 @@ from tabwright.operators.train import TrainSpec, fit_model, with_target
 from tabwright.plans.manifest import manifest_record, save_manifest
 from tabwright.sources.artifacts import ModelArtifact, load_artifact, save_artifact
 from tabwright.sources.files import exists, protect_outputs, write_json
+from tabwright.sources.publish import clear, finish, publish, staged
 from tabwright.sources.tables import read_table, write_table
 
 
@@ -203,7 +204,11 @@ def run_training(
     spark, paths: TrainingPaths, recipe: FeatureRecipe, split: SplitSpec, train: TrainSpec, *,
     overwrite: bool = False, **reading,
 ) -> TrainingRun:
-    """Preflight, features and split, fit, test evaluation, manifest."""
+    """Preflight, features and split, fit, test evaluation, manifest.
+
+    Model, metrics and manifest are published together when all are written: a run that stops
+    earlier leaves the old ones. Features are a table of their own and written in place.
+    """
     if split.validation <= 0 or split.test <= 0:
         raise ValueError("training needs validation and test rows")
     if recipe.target_column != train.target_column:
@@ -212,7 +217,10 @@ def run_training(
         paths.features, metadata_path(paths.features), paths.model, paths.training_metrics,
         paths.evaluation_metrics, paths.manifest,
     ]
+    together = [paths.model, paths.training_metrics, paths.evaluation_metrics, paths.manifest]
+    finish(spark, paths.manifest)
     protect_outputs(spark, outputs, [paths.source], overwrite)
+    clear(spark, together)
     built = build_features(
         spark, paths.source, paths.features, recipe, split, overwrite=overwrite, **reading
     )
@@ -221,7 +229,7 @@ def run_training(
         read_split(spark, paths.features, "validation"),
         train,
     )
-    save_artifact(spark, fitted.artifact, paths.model, overwrite=overwrite)
+    save_artifact(spark, fitted.artifact, staged(paths.model))
     write_json(
         spark,
         {
@@ -231,10 +239,10 @@ def run_training(
             "evaluation_dataset": fitted.evaluation_dataset,
             **fitted.metrics,
         },
-        paths.training_metrics,
+        staged(paths.training_metrics),
     )
     evaluation = evaluate_table(read_split(spark, paths.features, "test"), fitted.artifact)
-    write_json(spark, {"model_path": paths.model, **evaluation}, paths.evaluation_metrics)
+    write_json(spark, {"model_path": paths.model, **evaluation}, staged(paths.evaluation_metrics))
 
     def headline(block, *names):
         return {n: block["metrics"][n] for n in names}
@@ -250,5 +258,6 @@ def run_training(
         validation_metrics=headline(fitted.metrics, "accuracy", "f1_weighted"),
         test_metrics=headline(evaluation, "accuracy", "balanced_accuracy", "f1_weighted"),
     )
-    save_manifest(spark, manifest, paths.manifest, True)
+    save_manifest(spark, manifest, staged(paths.manifest), True)
+    publish(spark, paths.manifest, together)
     return TrainingRun(built, fitted, evaluation, manifest)

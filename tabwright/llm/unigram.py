@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -217,14 +217,17 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
     pieces. Words are encoded apart, so a text of any length needs memory in proportion to
     itself; the trie is built once and broadcast, its size being that of the vocabulary.
     """
-    table = docs.sparkSession.sparkContext.broadcast(PieceTable.load(path or piece_model_path()))
-    fields = [("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("n_byte_pieces", pa.int64())]
-    fields += [("score", pa.float64()), ("ids_crc32", pa.int64()), ("decoded_crc32", pa.int64())]
-    fields += [("round_trip", pa.bool_())] + [("ids", pa.list_(pa.int32()))] * with_ids
-    schema = pa.schema(fields)
+    loaded = PieceTable.load(path or piece_model_path())
+    # plain lists: a broadcast object of a class would need this package in the workers
+    parts = {f.name: getattr(loaded, f.name) for f in fields(PieceTable)}
+    table = docs.sparkSession.sparkContext.broadcast(parts)
+    columns = [("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("n_byte_pieces", pa.int64())]
+    columns += [("score", pa.float64()), ("ids_crc32", pa.int64()), ("decoded_crc32", pa.int64())]
+    columns += [("round_trip", pa.bool_())] + [("ids", pa.list_(pa.int32()))] * with_ids
+    schema = pa.schema(columns)
 
     def run(batches):
-        coder = UnigramCoder(table.value)
+        coder = UnigramCoder(PieceTable(**table.value))
         for part in slices(batches):
             rows = []
             for doc_id, body in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):

@@ -146,7 +146,8 @@ def licence_matches(
     distinct bigrams over the sum of both counts; a segment with a bigram count outside
     ``least / (2 - least)`` to ``(2 - least) / least`` times a template's cannot reach
     ``least``, so such templates are never compared, and distinct words bound the count
-    before any bigram is made. Null and empty texts, and segments of one word, match nothing.
+    before any bigram is made. Of all templates that a segment matches only the best one
+    counts (greatest Dice, then the first id). Null and empty texts, and segments of one word, match nothing.
     Repeated rows of one doc_id count as one document; a null doc_id is a document too.
     """
     known = {k: template_bigrams(v) for k, v in templates.items()}
@@ -155,8 +156,10 @@ def licence_matches(
     high = max(map(len, known.values())) * ratio
     table = F.array(
         *(
-            F.struct(F.lit(k).alias("id"), F.array(*map(F.lit, v)).alias("bigrams"))
-            for k, v in known.items()
+            F.struct(
+                F.lit(k).alias("id"), F.lit(-place).alias("place"), F.array(*map(F.lit, v)).alias("bigrams")
+            )
+            for place, (k, v) in enumerate(sorted(known.items()))
         )
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -178,21 +181,25 @@ def licence_matches(
         )
     )
     sized = _once(words.filter(F.size("w") > 1), bigrams, "b", "doc_id")
-    candidates = sized.select(
-        "doc_id",
-        "b",
-        F.explode(
-            F.filter(
-                table,
-                lambda t: (F.size(t["bigrams"]) <= F.size("b") * ratio)
-                & (F.size("b") <= F.size(t["bigrams"]) * ratio),
-            )
-        ).alias("t"),
+    fitting = F.filter(
+        table,
+        lambda t: (F.size(t["bigrams"]) <= F.size("b") * ratio)
+        & (F.size("b") <= F.size(t["bigrams"]) * ratio),
+    )
+    # the greatest Dice, of equal ones the first id: its negated place sorts it last
+    scored = F.transform(
+        fitting,
+        lambda t: F.struct(
+            (2 * F.size(F.array_intersect("b", t["bigrams"])) / (F.size("b") + F.size(t["bigrams"]))).alias("dice"),
+            t["place"].alias("place"),
+            t["id"].alias("id"),
+        ),
+    )
+    whole = (
+        _once(sized, F.array_max(scored), "best", "doc_id")
+        .filter(F.col("best.dice") >= least)
+        .select("doc_id", F.col("best.id").alias("license_id"), F.col("best.dice").alias("dice"), F.lit(1).alias("n"))
     )
-    dice = (2 * F.size(F.array_intersect("b", "t.bigrams"))) / (F.size("b") + F.size("t.bigrams"))
-    whole = candidates.select(
-        "doc_id", F.col("t.id").alias("license_id"), dice.alias("dice"), F.lit(1).alias("n")
-    ).filter(F.col("dice") >= least)
     return (
         whole.union(_passages(docs, templates, least))
         .groupBy("doc_id", "license_id")
@@ -224,7 +231,8 @@ def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataF
     A passage is a run of consecutive words, across line ends, that starts at a bigram of the
     template and has as many words as the template, or ends at one of its bigrams and has at
     most ``(2 - least) / least`` times as many. Lines that match the template by themselves
-    are gaps here, and a text that matches as a whole has no passages. ``dice`` is the best of
+    are gaps here, and a text that matches as a whole has no passages. A run that another
+    template matches better (or as well, with an earlier id) is not this template's. ``dice`` is the best of
     all passages, ``n`` the most that do not overlap. Runs are compared only where a share of
     ``least / (2 - least)`` of the template's bigrams, without which Dice cannot reach
     ``least``, lies close enough together.
@@ -253,31 +261,29 @@ def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataF
     words = _once(texts, F.split(_normal("text"), " "), "w", *keep)
     hits = _once(words, F.array_distinct(F.filter(_bigrams(F.col("w")), lambda b: b.isin(every))), "hits", *keep)
     least_need = min(math.ceil(len(v) / ratio - 1e-9) for v in known.values())
-    near = hits.filter(F.size("hits") >= least_need).select(
-        *keep,
-        F.explode(
-            F.filter(table, lambda t: F.size(F.array_intersect(F.col("hits"), t["bigrams"])) >= t["need"])
-        ).alias("t"),
-    )
+    enough = F.filter(table, lambda t: F.size(F.array_intersect(F.col("hits"), t["bigrams"])) >= t["need"])
+    near = _once(hits.filter(F.size("hits") >= least_need), enough, "others", *keep)
+    near = near.select(*keep, "others", F.explode("others").alias("t"))
     # words of each line; a line that matches alone becomes a word that no text has
-    lines = _once(near, F.transform(F.split("text", "\n"), lambda x: F.split(_normal(x), " ")), "lines", "doc_id", "t")
+    lines = _once(near, F.transform(F.split("text", "\n"), lambda x: F.split(_normal(x), " ")), "lines", "doc_id", "t", "others")
     matches = lambda b: _dice(b, F.col("t.bigrams")) >= least
-    lines = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t", "lines")
-    lines = _once(lines, _bigrams(F.col("w")), "b", "doc_id", "t", "lines").filter(~matches(F.col("b")))
+    lines = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t", "others", "lines")
+    lines = _once(lines, _bigrams(F.col("w")), "b", "doc_id", "t", "others", "lines").filter(~matches(F.col("b")))
     lines = lines.select(
         "doc_id",
         "t",
+        "others",
         F.transform(
             "lines",
             lambda x: F.when((F.size(x) > F.col("t.need")) & matches(_bigrams(x)), F.array(F.lit("|"))).otherwise(x),
         ).alias("lines"),
     )
-    rest = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t")
-    rest = _once(rest.filter(F.size("w") > F.col("t.length")), _bigrams(F.col("w")), "b", "doc_id", "t")
+    rest = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t", "others")
+    rest = _once(rest.filter(F.size("w") > F.col("t.length")), _bigrams(F.col("w")), "b", "doc_id", "t", "others")
     at = F.filter(
         F.transform("b", lambda x, i: F.when(F.array_contains("t.bigrams", x), i)), lambda i: i.isNotNull()
     )
-    rest = _once(rest, at, "at", "doc_id", "t", "b")
+    rest = _once(rest, at, "at", "doc_id", "t", "others", "b")
 
     def runs(i, k):
         """(end, dice) of the runs that start at hit ``k``, which is bigram ``i``."""
@@ -306,7 +312,20 @@ def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataF
         "found",
         "doc_id",
         "t",
+        "others",
+        "b",
     ).filter(F.size("found") > 0)
+
+    def beaten(r):
+        """True when another template matches the words of a run better."""
+        own = F.slice("b", r["start"] + 1, r["end"] - r["start"] + 1)
+        other = lambda o: _dice(own, o["bigrams"])
+        return F.exists(
+            F.filter("others", lambda o: o["id"] != F.col("t.id")),
+            lambda o: (other(o) > r["dice"]) | ((other(o) == r["dice"]) & (o["id"] < F.col("t.id"))),
+        )
+
+    found = _once(found, F.filter("found", lambda r: ~beaten(r)), "found", "doc_id", "t").filter(F.size("found") > 0)
     apart = F.aggregate(
         "found",
         F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n")),

@@ -103,11 +103,12 @@ WITH t(license_id, g) AS (VALUES {rows}
   SELECT k, doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
   FROM w WHERE len(w) > 1
 ), m AS (
-  SELECT doc_id, license_id, 2 * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice FROM b JOIN t
+  SELECT k, doc_id, license_id, 2 * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice FROM b JOIN t
     ON len(b) <= len(g) * {(2 - least) / least} AND len(g) <= len(b) * {(2 - least) / least}
 )
 SELECT doc_id, license_id, count(*) AS n_segments, max(dice) AS best_dice
-FROM m WHERE dice >= {least} GROUP BY ALL
+FROM (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY k ORDER BY dice DESC, license_id) = 1)
+WHERE dice >= {least} GROUP BY ALL
 """
 
 

@@ -183,3 +183,19 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, edges, no_docs, edg
     left = {r.doc_id for r in rows}
     assert 0.6 * before < len(left) < before
     assert {"sequence_id", "offset", "ids_crc32"} <= set(rows[0].asDict())
+
+
+def test_each_notice_is_one_licence(spark):
+    """The four notices of the GNU family differ in a word or two: the best match counts alone."""
+    names = ["GPL-2.0/notice", "GPL-3.0/notice", "LGPL-3.0/notice", "AGPL-3.0/notice"]
+    names = [n for n in names if n in licences.TEMPLATES]
+    assert len(names) >= 3
+    pairs = [(i, licences.TEMPLATES[n]) for i, n in enumerate(names)]  # lines of their own
+    pairs += [(10 + i, f"{prose(i, 30)}\n{licences.TEMPLATES[n]}\n{prose(i + 9, 30)}") for i, n in enumerate(names)]
+    for i, n in enumerate(names):  # wrapped over lines, inside other words
+        body = licences.TEMPLATES[n].split()
+        pairs.append((20 + i, f"{prose(i, 20)} {' '.join(body[:5])}\n{' '.join(body[5:])} {prose(i + 5, 20)}"))
+    docs = make_docs(spark, pairs)
+    found = sorted((r.doc_id, r.license_id) for r in licences.licence_matches(docs).collect())
+    assert found == sorted((at + i, n) for at in (0, 10, 20) for i, n in enumerate(names))
+    same(licences.licence_matches(docs.filter("doc_id < 20")), sql.licences_sql(), docs.filter("doc_id < 20"))

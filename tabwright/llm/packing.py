@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_bytes, record_batch, slices
+from .common import id_and_bytes, kept_by_worker, record_batch, slices
 from .encode import WordEncoder, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -25,7 +25,8 @@ def token_pieces(docs: DataFrame, limit: int = 2048, path: str | None = None) ->
     )
 
     def run(batches):
-        encoder = WordEncoder(path)
+        # the words that earlier tasks of this worker have met are known
+        encoder = kept_by_worker(("WordEncoder", path), lambda: WordEncoder(path))
         for part in slices(batches, 2 << 20):
             rows = []
             encoded = encoder.encode(part.column(1).to_pylist())

@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
 
@@ -164,7 +165,7 @@ def test_long_texts_add_parts_to_packing(spark):
 
 
 def test_pitman_yor_counts_and_scores(spark, edges, no_docs):
-    report = pitman.score_report(edges, pitman.ModelSpec(classes=64, shard_tokens=2000)).collect()
+    report = pitman.score_report(edges, pitman.ModelSpec(shard_tokens=2000)).collect()
     got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in report), key=str)
     assert got == brute_base(EDGES)
     assert all(r.score <= 0 and math.isfinite(r.score) for r in report)
@@ -173,11 +174,11 @@ def test_pitman_yor_counts_and_scores(spark, edges, no_docs):
 
 def test_pitman_yor_beats_its_base_and_does_not_depend_on_shards(spark):
     docs = spark.read.parquet(DOCS)
-    spec = pitman.ModelSpec(classes=1024, shard_tokens=1 << 22)
+    spec = pitman.ModelSpec(shard_tokens=1 << 22)
     one = {r.doc_id: r for r in pitman.score_report(docs, spec).collect()}
     unseen = [r for r in one.values() if r.held_out]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
-    two = pitman.score_report(docs.repartition(3), pitman.ModelSpec(classes=1024, shard_tokens=5000))
+    two = pitman.score_report(docs.repartition(3), pitman.ModelSpec(shard_tokens=5000))
     assert all(math.isclose(one[r.doc_id].score, r.score, rel_tol=1e-5) for r in two.collect())
 
 
@@ -200,3 +201,86 @@ def test_seating_follows_the_restaurant():
             t += one_by_one.random() < odds / (odds + k - 0.5 * t)
         runs.append(t)
     assert abs(tables[3] - np.mean(runs)) < 0.1 * np.mean(runs)
+
+
+def pair_probabilities(spark, docs, spec):
+    """{(context, word hash): probability} of all pairs in the documents, and the layout."""
+    rows = docs.select("doc_id", (~pitman.held_out(docs.doc_id)).alias("train"), docs.text.cast("binary"))
+    shards = rows.mapInArrow(pitman._shards(spec), pitman.SHARD_DDL).cache()
+    layout = pitman.laid_out(shards, spec)
+    asked = pitman.asked_pairs(shards, layout)
+    known, told = pitman.train(asked, layout, spec)
+    asked, told = asked.toArrow(), told.toArrow()
+    out = {}
+    for bucket in set(asked.column("bucket").to_pylist()):
+        own, rows = (t.filter(pc.equal(t.column("bucket"), bucket)) for t in (asked, told))
+        b = pitman.Bucket(own, layout)
+        share = pitman.predictive(b, layout, known, spec, rows)
+        for context, word, p in zip(b.contexts[b.context].tolist(), b.words[b.word].tolist(), share.tolist()):
+            assert (context, word) not in out
+            out[context, word] = p
+    return out, layout
+
+
+@pytest.mark.parametrize("bucket_tokens", [1 << 22, 300])
+def test_predictive_probabilities_of_every_context_sum_to_one(spark, bucket_tokens):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(12)]
+    held = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    train = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    ranks = lambda n: np.minimum(rng.zipf(1.4, n) - 1, 11)
+    docs = [(train[i], " ".join(vocabulary[k] for k in ranks(40))) for i in range(60)]
+    pairs = [f"{u} {w}" for u in [*vocabulary, "fresh"] for w in [*vocabulary, "unseen"]]
+    docs += list(zip(held, [*pairs, *vocabulary, "unseen", "fresh", ""]))
+    spec = pitman.ModelSpec(bucket_tokens=bucket_tokens, shard_tokens=1500)
+    found, layout = pair_probabilities(spark, make_docs(spark, docs).coalesce(2), spec)
+    assert (len(layout.hot) > 0) == (bucket_tokens == 300)
+    hashes = pitman.token_hashes([" ".join([*vocabulary, "unseen"]).encode()])[0]
+    starts = pitman.token_hashes([b"fresh"])[0][:1]
+    contexts = layout.contexts(np.concatenate((hashes[:-2], starts, [pitman.START]))).tolist()
+    for context in contexts:
+        assert math.isclose(sum(found[context, w] for w in hashes.tolist()), 1, abs_tol=1e-9)
+
+
+def table_shares(count, others, weight, discount, strength):
+    """Exact law of a dish's tables given the rest: partitions into t tables times new-table odds."""
+    ways = {1: 1.0}
+    for n in range(1, count):
+        ways = {
+            t: ways.get(t - 1, 0) + (n - discount * t) * ways.get(t, 0) for t in range(1, n + 2)
+        }
+    odds = [
+        ways[t] * math.prod((strength + discount * (others + i)) * weight for i in range(t))
+        for t in range(1, count + 1)
+    ]
+    return np.array(odds) / sum(odds)
+
+
+def test_gibbs_moves_follow_the_exact_law():
+    rng = np.random.default_rng(8)
+    n, count, others, weight, discount, strength = 20_000, 6, 3, 0.15, 0.4, 1.0
+    seating = pitman.Seating.opened(np.full(n, count), np.full(n, 6), discount, rng)
+    totals = np.full(n, others + 6.0)
+    for _ in range(12):
+        seating.move(np.arange(n), totals, np.full(n, weight), discount, strength, 4, rng)
+    assert (totals == others + seating.tables).all()
+    assert (np.add.reduceat(seating.sizes, np.cumsum(seating.tables) - seating.tables) == count).all()
+    shares = np.bincount(seating.tables, minlength=7)[1:] / n
+    assert np.abs(shares - table_shares(count, others, weight, discount, strength)).max() < 0.012
+
+
+def test_customers_come_and_go_at_the_root():
+    rng = np.random.default_rng(9)
+    before, after = np.array([0, 1, 5, 400, 3, 9]), np.array([2, 0, 7, 3, 3, 900])
+    seating = pitman.Seating.opened(before, (before > 0) * 2, 0.5, rng)
+    total = seating.settle(after, float(seating.tables.sum()), 0.1, 0.5, 1.0, 4, rng)
+    assert (seating.count == after).all() and total == seating.tables.sum()
+    assert ((seating.tables > 0) == (after > 0)).all() and (seating.sizes > 0).all()
+    again = pitman.Seating.unpacked(seating.packed())
+    assert (again.count == after).all()
+
+
+def test_language_model_without_training_documents(spark):
+    held = [i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = pitman.score_report(make_docs(spark, [(held[0], "a b"), (held[1], None)])).collect()
+    assert [(r.n_known, r.train_tokens, r.score) for r in rows] == [(0, 0, 0.0)] * 2

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.operators.schema import quoted
+from tabwright.session import cut_lineage
 
 #: Fixed value: what separates words in every contract of this subpackage.
 SPACE = r"[\x20\x09-\x0D]"
@@ -68,6 +69,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def cut_partitioned(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint that keeps the hash partitioning of ``df``.
+
+    An adaptive plan does not tell its partitioning before it ran, so the rows are written
+    under a fixed plan; later groupings by the same column then need no shuffle.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

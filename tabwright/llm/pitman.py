@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tabwright.session import cut_lineage, scratch_path
 
-from .common import id_and_bytes, mix64, record_batch, shuffle_partitions, slices
+from .common import cut_partitioned, id_and_bytes, mix64, record_batch, shuffle_partitions, slices
 from .linecrf import SpanHasher
 
 #: What ends a text, and what its first word follows; no word has these hashes but by chance.
@@ -746,7 +746,7 @@ def train(asked: DataFrame, layout: Layout, spec: ModelSpec):
     """(totals, homes, rows of the last pass) after ``spec.passes`` passes over all buckets."""
     buckets = asked.groupBy("bucket")
     first = buckets.applyInArrow(_first(layout), ASK_DDL).repartition(layout.buckets, "home")
-    homes = cut_lineage(first)
+    homes = cut_partitioned(first)
     rows = homes.filter("home < 0").collect()
     sums = np.sum([np.frombuffer(r.a, "<i8") for r in rows], axis=0)
     hot_count, hot_customers = _hot_sums(layout, rows, 2)
@@ -845,7 +845,7 @@ def laid_out(shards: DataFrame, spec: ModelSpec) -> Layout:
 def asked_pairs(shards: DataFrame, layout: Layout) -> DataFrame:
     """Every shard's pairs, at their buckets."""
     cells = shards.select("shard", "head", "body").mapInArrow(_cells(layout), CELL_DDL)
-    return cut_lineage(cells.repartition(layout.buckets, "bucket"))
+    return cut_partitioned(cells.repartition(layout.buckets, "bucket"))
 
 
 def score_report(docs: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:

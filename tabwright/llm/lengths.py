@@ -31,16 +31,35 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     return lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
 
 
-def limit_table(histogram: DataFrame, block: int = 1024) -> DataFrame:
-    """For every distinct length taken as context limit, the totals a planner asks for.
+def every_limit(histogram: DataFrame) -> DataFrame:
+    """(context_limit): 1, 2, … up to the longest text, which no larger limit cuts."""
+    longest = histogram.agg(F.max("n_tokens")).head()[0] or 0
+    return histogram.sparkSession.range(1, longest + 1).select(F.col("id").alias("context_limit"))
 
+
+def limit_table(histogram: DataFrame, limits: DataFrame | None = None, block: int = 1024) -> DataFrame:
+    """For every distinct length and each of ``limits``, taken as context limit, what a planner asks.
+
+    ``limits`` (context_limit) may hold any limits; each gets one exact row, whether a text has
+    that length or not. Null limits are left out, repeated ones count once.
     ``docs_at_least``, ``tokens_at_least``: suffix sums over lengths at or above the limit.
     ``truncated_tokens``: tokens left when every document is cut at the limit.
     ``lost_tokens``: what that cut takes away. ``rank_fraction``: share of documents at or
-    below the limit, from which any quantile is read. Suffix sums run inside blocks of
-    ``block`` lengths; block totals are summed apart, so no task sees the whole histogram.
-    An empty table gives no rows.
+    below the limit, from which any quantile is read; ``percentile``: the same in whole per cent,
+    rounded down, in integers. Suffix sums run inside blocks of ``block`` lengths; block totals
+    are summed apart, so no task sees the whole histogram. An empty table gives no rows.
     """
+    all_docs, all_tokens = histogram.agg(
+        F.sum("n_docs"), F.sum(F.col("n_tokens") * F.col("n_docs"))
+    ).head()
+    if limits is not None:
+        asked = limits.select(F.col("context_limit").cast("long").alias("n_tokens"), F.lit(0).cast("long"))
+        histogram = (
+            histogram.select(F.col("n_tokens").cast("long"), "n_docs")
+            .union(asked.filter(F.col("n_tokens").isNotNull() & F.lit(bool(all_docs))))
+            .groupBy("n_tokens")
+            .agg(F.sum("n_docs").alias("n_docs"))
+        )
     rows = histogram.withColumn("block", F.floor(F.col("n_tokens") / block)).withColumn(
         "tokens", F.col("n_tokens") * F.col("n_docs")
     )
@@ -59,7 +78,6 @@ def limit_table(histogram: DataFrame, block: int = 1024) -> DataFrame:
         .orderBy(F.desc("n_tokens"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    all_docs, all_tokens = rows.agg(F.sum("n_docs"), F.sum("tokens")).head()
     return (
         rows.withColumn("d", F.sum("n_docs").over(own))
         .withColumn("t", F.sum("tokens").over(own))
@@ -79,10 +97,10 @@ def limit_table(histogram: DataFrame, block: int = 1024) -> DataFrame:
             + F.col("context_limit") * F.col("docs_at_least"),
         )
         .withColumn("lost_tokens", F.col("all_tokens") - F.col("truncated_tokens"))
-        .withColumn(
-            "rank_fraction",
-            (F.col("all_docs") - F.col("docs_at_least") + F.col("n_docs")) / F.col("all_docs"),
-        )
+        .withColumn("upto", F.col("all_docs") - F.col("docs_at_least") + F.col("n_docs"))
+        .withColumn("rank_fraction", F.col("upto") / F.col("all_docs"))
+        .withColumn("percentile", F.expr("100 * upto div all_docs"))
+        .drop("upto")
     )
 
 
@@ -94,9 +112,11 @@ def quantile_lengths(limits: DataFrame, shares) -> DataFrame:
 
 
 def length_report(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The limit table of whole texts; null texts count as empty (length 0).
+    """The limit table of whole texts for every limit; null texts count as empty (length 0).
 
-    The histogram is written once to the shared checkpoint folder, since the table reads
-    it for the suffix sums and for the totals.
+    There is a row for each limit from 1 to the longest text, and for 0 if a text is empty. The
+    histogram is written once to the shared checkpoint folder, since the table reads it for
+    the limits, the suffix sums and the totals.
     """
-    return limit_table(cut_lineage(length_histogram(encoded_lengths(docs, path))))
+    histogram = cut_lineage(length_histogram(encoded_lengths(docs, path)))
+    return limit_table(histogram, every_limit(histogram))

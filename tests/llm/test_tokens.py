@@ -73,16 +73,28 @@ def test_open_bins_fit_best_and_close_the_fullest():
 def test_length_tables(spark, edges, no_docs, tokenizer):
     sizes = sorted(len(tokenizer.encode(t or "", add_special_tokens=False).ids) for _, t in EDGES)
     report = {r.context_limit: r for r in lengths.length_report(edges).collect()}
-    assert set(report) == set(sizes)
-    for limit, r in report.items():
+    assert set(report) == {0, *range(1, sizes[-1] + 1)}
+    for limit in {*sizes, 2, 7, 512, 2047, 4096, sizes[-1] - 1}:
+        r = report[limit]
         over = [s for s in sizes if s >= limit]
         assert (r.docs_at_least, r.tokens_at_least) == (len(over), sum(over))
         assert r.truncated_tokens == sum(min(s, limit) for s in sizes)
         assert r.lost_tokens == sum(sizes) - r.truncated_tokens
         assert math.isclose(r.rank_fraction, sum(s <= limit for s in sizes) / len(sizes))
+        assert r.percentile == 100 * sum(s <= limit for s in sizes) // len(sizes)
+    assert all(r.n_docs == sizes.count(limit) for limit, r in report.items())
+    histogram = lengths.length_histogram(lengths.encoded_lengths(edges))
+    asked = spark.createDataFrame([(5000,), (10**7,), (5000,), (None,)], "context_limit int")
+    some = {r.context_limit: r for r in lengths.limit_table(histogram, asked).collect()}
+    assert set(some) == {*sizes, 5000, 10**7}
+    assert some[5000].truncated_tokens == sum(min(s, 5000) for s in sizes)
+    assert (some[10**7].docs_at_least, some[10**7].lost_tokens) == (0, 0)
+    assert set(r.context_limit for r in lengths.limit_table(histogram).collect()) == set(sizes)
     found = lengths.quantile_lengths(lengths.length_report(edges), [0.5, 1.0]).collect()
     assert {r.share: r.n_tokens for r in found} == {0.5: sizes[len(sizes) // 2 - 1], 1.0: sizes[-1]}
     assert lengths.length_report(no_docs).count() == 0
+    none = lengths.length_histogram(lengths.encoded_lengths(no_docs))
+    assert lengths.limit_table(none, asked).count() == 0
 
 
 @pytest.fixture(scope="module")

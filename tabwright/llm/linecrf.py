@@ -252,12 +252,16 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> LineModel:
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, sample: int = 4000, most_lines: int = 400_000
+) -> LineModel:
     """Fit on at most ``sample`` labelled documents outside the held-out fifth.
 
     The sample is the documents with the least hash of their id, the same at any
-    partitioning; it bounds what reaches the driver (a few numbers per line). Repeated
-    labels of a document count as their least; null labels are left out.
+    partitioning; of these, in the same order, all that fit into ``most_lines`` lines
+    together (all rows of an id count, a longer document is passed over). So at most that
+    many lines, of a few numbers each, reach the driver. Repeated labels of a document
+    count as their least; null labels are left out.
     """
     spark = docs.sparkSession
     chosen = (
@@ -271,8 +275,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> LineM
     )
     known = small_table(spark, [tuple(r) for r in chosen], "label_id long, y int")
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n")))
+    lines = dict(
+        texts.join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))  # at most `sample` rows
+        .groupBy("doc_id")
+        .agg(F.sum(breaks + 1))
+        .collect()
+    )
+    fitting, room = [], most_lines
+    for r in chosen:
+        if lines.get(r.doc_id, 0) <= room:
+            room -= lines.get(r.doc_id, 0)
+            fitting.append(tuple(r))
+    known = small_table(spark, fitting, "label_id long, y int")
     schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("bytes", pa.list_(pa.float64())), ("own", pa.list_(pa.float32()))])
 
     def run(batches):
@@ -291,7 +309,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> LineM
 
     rows = (
         texts.join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))  # at most `sample` rows
-        .select("doc_id", "y", F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+        .select("doc_id", "y", F.col("text").cast("binary").alias("body"))
         .mapInArrow(run, "doc_id long, y int, bytes array<double>, own array<float>")
         .toArrow()
         .sort_by("doc_id")

@@ -149,8 +149,8 @@ def test_suffix_order_and_prefixes():
             assert min(int(found[k]), 100) == min(same, 100)
 
 
-def test_fingerprints_follow_the_contract(edges, no_docs):
-    ordered = [(i, t.decode()) for i, t in in_order(EDGES)]
+def brute_fingerprints(pairs):
+    ordered = [(i, t.decode()) for i, t in in_order(pairs)]
     expected = []
     for k, (doc_id, text) in enumerate(ordered):
         following = ordered[(k + 1) % len(ordered)][1]
@@ -163,11 +163,46 @@ def test_fingerprints_follow_the_contract(edges, no_docs):
                 lzprint.print_text(changed), lzprint.likeness(own, changed), lzprint.likeness(own, other),
             )
         )
+    return sorted(expected, key=str)
+
+
+def test_fingerprints_follow_the_contract(edges, no_docs):
     got = lzprint.fingerprint_report(edges).collect()
-    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    assert sorted(map(tuple, got), key=str) == brute_fingerprints(EDGES)
     assert lzprint.fingerprint_report(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("crowd", ["nulls", "one id", "only nulls", "copies", "great ids"])
+def test_fingerprints_of_crowded_ids(spark, crowd):
+    rng = random.Random(crowd)
+    texts = [prose(k, rng.randrange(0, 30)) for k in range(120)]
+    ids = {
+        "nulls": [None if k % 3 else k for k in range(120)],
+        "one id": [7 if k % 3 else k for k in range(120)],
+        "only nulls": [None] * 120,
+        "copies": [None if k % 2 else k for k in range(120)],
+        "great ids": [(1 << 62) + 3 * k + 1 for k in range(120)],
+    }[crowd]
+    if crowd == "copies":
+        texts = [texts[0] if k % 5 else t for k, t in enumerate(texts)]
+    pairs = list(zip(ids, texts))
+    docs = make_docs(spark, pairs).repartition(5)
+    got = lzprint.fingerprint_report(docs).collect()
+    assert sorted(map(tuple, got), key=str) == brute_fingerprints(pairs)
+    if crowd in ("nulls", "one id", "only nulls"):
+        blocks = lzprint._in_blocks(docs, 12).filter("not guest").groupBy("block").count().collect()
+        assert max(r["count"] for r in blocks) < 60
+
+
+def test_phrases_set_aside_are_not_forgotten():
+    data = prose(4, 3000).encode()
+    small, plain = lzprint.PhraseParse(recent=16), lzprint.PhraseParse()
+    small.feed(data[:5000])
+    fork = small.fork().feed(data[5000:])
+    small.feed(b"other words")
+    assert fork.older and fork.ends == plain.feed(data).ends
+
+
 def test_phrases_are_the_longest_known_and_one_more():
     data = prose(9, 300).encode()
     parse = lzprint.PhraseParse().feed(data[:500]).feed(data[500:])
@@ -177,6 +212,6 @@ def test_phrases_are_the_longest_known_and_one_more():
             known.add(data[at:i])
             ends.append(i)
             at = i
-    assert parse.ends == ends
+    assert list(parse.ends) == ends
     assert lzprint.likeness(lzprint.text_signature("ab"), lzprint.text_signature("ab")) == 1.0
     assert lzprint.likeness(lzprint.text_signature("ab"), lzprint.text_signature("xy")) == 0.0

@@ -1,5 +1,6 @@
 import re
 import textwrap
+import zlib
 
 import numpy as np
 
@@ -161,6 +162,20 @@ def test_quality_edges(spark, edges, no_docs, edge_labels):
     assert linecrf.quality_report(no_docs, edge_labels).count() == 0
 
 
+def test_training_lines_are_bounded(spark, monkeypatch):
+    """Documents that do not fit into the bound are passed over, however many rows an id has."""
+    known = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5][:12]
+    pairs = [(i, f"good words here {i}.\nmore of them {i}.") for i in known]
+    pairs += [(known[0], "x\n" * 500)] * 3 + [(known[1], None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in known], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(linecrf, "train", lambda owner, n_bytes, own, y: seen.append((len(owner), len(y))))
+    for bound in (0, 9, 400, 10_000):
+        linecrf.fit_quality(make_docs(spark, pairs), labels, most_lines=bound)
+    # two lines a document; the row without a text adds none, and counts as one
+    assert seen[0] == (0, 0) and seen[1][0] <= 9 and seen[2] == (22, 12) and seen[3] == (24 + 1500, 16)
+
+
 def test_quality_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

@@ -58,19 +58,22 @@ class PhraseParse:
         self.trie.clear()
 
     def feed(self, data: bytes) -> PhraseParse:
-        trie, ends, node, made = self.trie, self.ends, self.node, self.made
-        get = trie.get
+        trie, older, node, made = self.trie, self.older, self.node, self.made
+        get, found, full = trie.get, self.ends.append, made + self.recent - len(trie)
         for at, byte in enumerate(data, self.length + 1):
             key = node << 8 | byte
             node = get(key)
-            if node is None and self.older:
-                node = self._find_older(key)
             if node is None:
-                if len(trie) >= self.recent:
+                if older:
+                    node = self._find_older(key)
+                    if node is not None:
+                        continue
+                if made == full:
                     self._set_aside()
+                    full = made + self.recent
                 trie[key] = made
                 made += 1
-                ends.append(at)
+                found(at)
                 node = 0
         self.node, self.length, self.made = node, self.length + len(data), made
         return self

@@ -149,59 +149,25 @@ def licence_matches(
     before any bigram is made. Of all templates that a segment matches only the best one
     counts (greatest Dice, then the first id). Null and empty texts, and segments of one word, match nothing.
     Repeated rows of one doc_id count as one document; a null doc_id is a document too.
+    Documents are read and cut once; only those near a template are compared, see ``_near``.
     """
-    known = {k: template_bigrams(v) for k, v in templates.items()}
-    ratio = (2 - least) / least
-    low = min(map(len, known.values())) / ratio
-    high = max(map(len, known.values())) * ratio
-    table = F.array(
-        *(
-            F.struct(
-                F.lit(k).alias("id"), F.lit(-place).alias("place"), F.array(*map(F.lit, v)).alias("bigrams")
-            )
-            for place, (k, v) in enumerate(sorted(known.items()))
-        )
-    )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.split(text, "\n")
-    segments = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.explode(
-            F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
-        ).alias("segment"),
-    )
-    normal = F.trim(F.regexp_replace(F.lower("segment"), NOT_WORD, " "))
-    words = _once(segments, F.split(normal, " "), "w", "doc_id").filter(
-        (F.size("w") - 1 >= low) & (F.size(F.array_distinct("w")) - 1 <= high)
-    )
-    bigrams = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(0), F.size("w") - 2),
-            lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)),
-        )
-    )
-    sized = _once(words.filter(F.size("w") > 1), bigrams, "b", "doc_id")
-    fitting = F.filter(
-        table,
-        lambda t: (F.size(t["bigrams"]) <= F.size("b") * ratio)
-        & (F.size("b") <= F.size(t["bigrams"]) * ratio),
-    )
-    # the greatest Dice, of equal ones the first id: its negated place sorts it last
-    scored = F.transform(
-        fitting,
-        lambda t: F.struct(
-            (2 * F.size(F.array_intersect("b", t["bigrams"])) / (F.size("b") + F.size(t["bigrams"]))).alias("dice"),
-            t["place"].alias("place"),
-            t["id"].alias("id"),
-        ),
-    )
-    whole = (
-        _once(sized, F.array_max(scored), "best", "doc_id")
-        .filter(F.col("best.dice") >= least)
-        .select("doc_id", F.col("best.id").alias("license_id"), F.col("best.dice").alias("dice"), F.lit(1).alias("n"))
+    keep = ("doc_id", "others")
+    # words of each line
+    lines = _once(
+        _near(docs, templates, least), F.transform(F.split("text", "\n"), lambda x: F.split(_normal(x), " ")), "lines", *keep
     )
+    best = _once(_segments(lines, templates, least), _best(least), "best", *keep, "lines")
+    pairs = best.select("doc_id", "others", "lines", "best", F.explode("others").alias("t"))
+    own = F.filter("best", lambda m: m["id"] == F.col("t.id"))
+    pairs = _once(pairs, F.transform(own, lambda m: m["dice"]), "whole", "doc_id", "t", "others", "lines")
     return (
-        whole.union(_passages(docs, templates, least))
+        _passages(pairs, least)
+        .select(
+            "doc_id",
+            F.col("t.id").alias("license_id"),
+            F.array_max(F.concat("whole", F.transform("found", lambda r: r["dice"]))).alias("dice"),
+            (F.size("whole") + _apart("found")).alias("n"),
+        )
         .groupBy("doc_id", "license_id")
         .agg(F.sum("n").alias("n_segments"), F.max("dice").alias("best_dice"))
     )
@@ -225,31 +191,28 @@ def _dice(bigrams, known):
     return (2 * F.size(F.array_intersect(own, known))) / (F.size(own) + F.size(known))
 
 
-def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
-    """(doc_id, license_id, dice, n): licences inside longer lines or over several lines.
+def _near(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """(doc_id, text, others): documents that can match a template, and all such templates.
 
-    A passage is a run of consecutive words, across line ends, that starts at a bigram of the
-    template and has as many words as the template, or ends at one of its bigrams and has at
-    most ``(2 - least) / least`` times as many. Lines that match the template by themselves
-    are gaps here, and a text that matches as a whole has no passages. A run that another
-    template matches better (or as well, with an earlier id) is not this template's. ``dice`` is the best of
-    all passages, ``n`` the most that do not overlap. Runs are compared only where a share of
-    ``least / (2 - least)`` of the template's bigrams, without which Dice cannot reach
-    ``least``, lies close enough together.
+    A segment or passage reaches ``least`` only with a share of ``least / (2 - least)`` of the
+    template's bigrams. All its bigrams are bigrams of the whole text, so a text without that
+    many matches the template nowhere.
     """
     ratio = (2 - least) / least
     known = {k: template_bigrams(v) for k, v in templates.items()}
     length = {k: len(re.sub(r"[^a-z0-9]+", " ", v.lower()).split()) - 1 for k, v in templates.items()}
+    need = {k: math.ceil(len(v) / ratio - 1e-9) for k, v in known.items()}
     table = F.array(
         *(
             F.struct(
                 F.lit(k).alias("id"),
+                F.lit(-place).alias("place"),
                 F.array(*map(F.lit, v)).alias("bigrams"),
-                F.lit(math.ceil(len(v) / ratio - 1e-9)).alias("need"),
+                F.lit(need[k]).alias("need"),
                 F.lit(length[k]).alias("length"),
                 F.lit(max(length[k], int(length[k] * ratio))).alias("longest"),
             )
-            for k, v in known.items()
+            for place, (k, v) in enumerate(sorted(known.items()))
         )
     )
     every = sorted(set().union(*known.values()))
@@ -260,30 +223,88 @@ def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataF
     keep = ("doc_id", "text")
     words = _once(texts, F.split(_normal("text"), " "), "w", *keep)
     hits = _once(words, F.array_distinct(F.filter(_bigrams(F.col("w")), lambda b: b.isin(every))), "hits", *keep)
-    least_need = min(math.ceil(len(v) / ratio - 1e-9) for v in known.values())
     enough = F.filter(table, lambda t: F.size(F.array_intersect(F.col("hits"), t["bigrams"])) >= t["need"])
-    near = _once(hits.filter(F.size("hits") >= least_need), enough, "others", *keep)
-    near = near.select(*keep, "others", F.explode("others").alias("t"))
-    # words of each line; a line that matches alone becomes a word that no text has
-    lines = _once(near, F.transform(F.split("text", "\n"), lambda x: F.split(_normal(x), " ")), "lines", "doc_id", "t", "others")
+    near = _once(hits.filter(F.size("hits") >= min(need.values())), enough, "others", *keep)
+    return near.filter(F.size("others") > 0)
+
+
+def _segments(lines: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """Adds ``own``: the distinct bigrams of each line and of a whole text of several lines.
+
+    Segments that are too short or too long for any template are left out.
+    """
+    ratio = (2 - least) / least
+    counts = [len(template_bigrams(v)) for v in templates.values()]
+    whole = F.filter(F.flatten("lines"), lambda w: w != "")
+    segments = F.when(F.size("lines") > 1, F.concat("lines", F.array(whole))).otherwise(F.col("lines"))
+    fitting = F.filter(
+        segments,
+        lambda w: (F.size(w) > 1)
+        & (F.size(w) - 1 >= min(counts) / ratio)
+        & (F.size(F.array_distinct(w)) - 1 <= max(counts) * ratio),
+    )
+    keep = ("doc_id", "others", "lines")
+    return _once(
+        _once(lines, fitting, "fitting", *keep),
+        F.transform("fitting", lambda w: F.array_distinct(_bigrams(w))),
+        "own",
+        *keep,
+    )
+
+
+def _best(least: float):
+    """The best template of each segment in ``own``, where it reaches ``least``."""
+    ratio = (2 - least) / least
+
+    def best(b):
+        fitting = F.filter(
+            "others",
+            lambda t: (F.size(t["bigrams"]) <= F.size(b) * ratio) & (F.size(b) <= F.size(t["bigrams"]) * ratio),
+        )
+        # the greatest Dice, of equal ones the first id: its negated place sorts it last
+        return F.array_max(
+            F.transform(
+                fitting,
+                lambda t: F.struct(
+                    (2 * F.size(F.array_intersect(b, t["bigrams"])) / (F.size(b) + F.size(t["bigrams"]))).alias("dice"),
+                    t["place"].alias("place"),
+                    t["id"].alias("id"),
+                ),
+            )
+        )
+
+    return F.filter(F.transform("own", best), lambda m: m["dice"] >= least)
+
+
+def _passages(pairs: DataFrame, least: float) -> DataFrame:
+    """(doc_id, t, whole, found): licences inside longer lines or over several lines.
+
+    A passage is a run of consecutive words, across line ends, that starts at a bigram of the
+    template and has as many words as the template, or ends at one of its bigrams and has at
+    most ``(2 - least) / least`` times as many. Lines that match the template by themselves
+    are gaps here, and a text that matches as a whole has no passages. A run that another
+    template matches better (or as well, with an earlier id) is not this template's. ``found``
+    has all runs by their ends. Runs are compared only where a share of
+    ``least / (2 - least)`` of the template's bigrams, without which Dice cannot reach
+    ``least``, lies close enough together. Pairs with neither runs nor whole segments go.
+    """
+    keep = ("doc_id", "t", "others", "whole")
     matches = lambda b: _dice(b, F.col("t.bigrams")) >= least
-    lines = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t", "others", "lines")
-    lines = _once(lines, _bigrams(F.col("w")), "b", "doc_id", "t", "others", "lines").filter(~matches(F.col("b")))
-    lines = lines.select(
-        "doc_id",
-        "t",
-        "others",
-        F.transform(
-            "lines",
-            lambda x: F.when((F.size(x) > F.col("t.need")) & matches(_bigrams(x)), F.array(F.lit("|"))).otherwise(x),
-        ).alias("lines"),
+    lines = _once(pairs, F.filter(F.flatten("lines"), lambda w: w != ""), "w", *keep, "lines")
+    lines = _once(lines, _bigrams(F.col("w")), "b", *keep, "lines")
+    # a line that matches alone becomes a word that no text has
+    gaps = F.transform(
+        "lines",
+        lambda x: F.when((F.size(x) > F.col("t.need")) & matches(_bigrams(x)), F.array(F.lit("|"))).otherwise(x),
     )
-    rest = _once(lines, F.filter(F.flatten("lines"), lambda w: w != ""), "w", "doc_id", "t", "others")
-    rest = _once(rest.filter(F.size("w") > F.col("t.length")), _bigrams(F.col("w")), "b", "doc_id", "t", "others")
+    none = F.array().cast("array<string>")
+    rest = F.when(matches(F.col("b")), none).otherwise(F.filter(F.flatten(gaps), lambda w: w != ""))
+    rest = _once(lines, rest, "w", *keep)
+    rest = _once(rest, F.when(F.size("w") > F.col("t.length"), _bigrams(F.col("w"))).otherwise(none), "b", *keep)
     at = F.filter(
         F.transform("b", lambda x, i: F.when(F.array_contains("t.bigrams", x), i)), lambda i: i.isNotNull()
     )
-    rest = _once(rest, at, "at", "doc_id", "t", "others", "b")
+    rest = _once(rest, at, "at", *keep, "b")
 
     def runs(i, k):
         """(end, dice) of the runs that start at hit ``k``, which is bigram ``i``."""
@@ -310,11 +331,9 @@ def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataF
         rest,
         F.array_sort(F.filter(F.flatten(F.transform("at", runs)), lambda r: r["dice"] >= least)),
         "found",
-        "doc_id",
-        "t",
-        "others",
+        *keep,
         "b",
-    ).filter(F.size("found") > 0)
+    )
 
     def beaten(r):
         """True when another template matches the words of a run better."""
@@ -325,13 +344,16 @@ def _passages(docs: DataFrame, templates: dict[str, str], least: float) -> DataF
             lambda o: (other(o) > r["dice"]) | ((other(o) == r["dice"]) & (o["id"] < F.col("t.id"))),
         )
 
-    found = _once(found, F.filter("found", lambda r: ~beaten(r)), "found", "doc_id", "t").filter(F.size("found") > 0)
-    apart = F.aggregate(
-        "found",
+    found = _once(found, F.filter("found", lambda r: ~beaten(r)), "found", "doc_id", "t", "whole")
+    return found.filter((F.size("found") > 0) | (F.size("whole") > 0))
+
+
+def _apart(found):
+    """The most runs that do not overlap."""
+    return F.aggregate(
+        found,
         F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n")),
         lambda a, r: F.when(
             r["start"] > a["end"], F.struct(r["end"].alias("end"), (a["n"] + 1).alias("n"))
         ).otherwise(a),
-    )
-    best = F.array_max(F.transform("found", lambda r: r["dice"]))
-    return found.select("doc_id", F.col("t.id").alias("license_id"), best.alias("dice"), apart["n"].alias("n"))
+    )["n"]

@@ -214,3 +214,19 @@ def test_each_notice_is_one_licence(spark):
     found = sorted((r.doc_id, r.license_id) for r in licences.licence_matches(docs).collect())
     assert found == sorted((at + i, n) for at in (0, 10, 20) for i, n in enumerate(names))
     same(licences.licence_matches(docs.filter("doc_id < 20")), sql.licences_sql(), docs.filter("doc_id < 20"))
+
+
+def test_licence_scan_reads_once_and_compares_near_documents_only(spark, tmp_path):
+    least_hits = "under the MIT License"  # as few of the notice's bigrams as still reach the least Dice
+    longest = "Released under the MIT License of"
+    pairs = [(1, prose(1, 300)), (2, f"{prose(2, 200)}\n{least_hits}\n{prose(3, 200)}"), (3, f"{longest}\n{prose(4, 90)}")]
+    pairs += [(4, f"the MIT {prose(5, 200)} MIT License"), (4, least_hits), (5, f"{prose(6, 50)} all rights reserved")]
+    make_docs(spark, pairs).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    found = licences.licence_matches(docs)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    near = licences._near(docs, licences.TEMPLATES, 0.8)
+    assert sorted(r.doc_id for r in near.collect()) == [2, 3, 4, 5]
+    ids = sorted((r.doc_id, r.license_id, r.n_segments) for r in found.collect())
+    assert ids == [(2, "MIT/licensed", 1), (3, "MIT/notice", 1), (4, "MIT/licensed", 1), (5, "reserved", 1)]
+    same(licences.licence_matches(docs.filter("doc_id < 5")), sql.licences_sql(), docs.filter("doc_id < 5"))

@@ -20,6 +20,9 @@ from tabwright.sources.publish import clear, finish, publish, staged
 from tabwright.sources.tables import read_table, write_table
 
 
+FORESTS = ("random_forest", "exact_forest")
+
+
 @dataclass(frozen=True)
 class FeatureBuild:
     path: str
@@ -101,6 +104,8 @@ def evaluate_table(df: DataFrame, artifact: ModelArtifact) -> dict:
     and left out."""
     target = artifact.target_column
     labelled = with_target(df, target)
+    if artifact.model_type in FORESTS:  # hundreds of trees for every row, even of a small file
+        labelled = labelled.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
     scored = score_table(labelled, artifact, prediction_column="tw_prediction")
     p = F.array(*[quoted(c) for c in scored.probability_columns])
     metrics = evaluate_predictions(scored.frame, target, "tw_prediction", artifact.classes, p)

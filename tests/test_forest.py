@@ -131,3 +131,84 @@ def test_a_forest_needs_rows(spark):
     with pytest.raises(ValueError):
         fit_model(empty, TrainSpec("label", model_type="exact_forest"))
     assert ForestSpec().trees == 300
+
+
+def matrix_of(spark, x, y, n=1):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(v, float(c)) for v, c in zip(x.tolist(), y.tolist()) for _ in range(n)]
+    df = spark.createDataFrame(rows, "x array<double>, tw_label double")
+    return df.select(array_to_vector("x").alias("tw_features"), "tw_label", F.lit(1.0).alias("tw_weight")).repartition(3)
+
+
+@pytest.mark.parametrize("width, classes, bootstrap", [(2, 5, False), (2, 3, True), (7, 2, True), (300, 9, False)])
+def test_tasks_grow_the_trees_of_the_numpy_functions(spark, width, classes, bootstrap):
+    rng = np.random.default_rng(width)
+    x = np.round(rng.standard_normal((200, width)), 1)
+    x[:, 0] = np.abs(x[:, 0])
+    x[rng.random(200) < 0.2] = x[0]  # equal rows with different labels
+    y = rng.integers(0, classes, 200)
+    y[:classes] = np.arange(classes)
+    weights = [1.0 + 0.37 * c for c in range(classes)]
+    spec = ForestSpec(trees=12, seed=5, bootstrap=bootstrap)
+    grown, stages = forest.fit_forest(matrix_of(spark, x, y, 2), weights, spec)
+    assert not stages and not grown.upper
+    counted = forest.counted_rows(matrix_of(spark, x, y, 2)).orderBy("row").collect()
+    own = np.array([r.x for r in counted])
+    label, copies = (np.array([r[c] for r in counted]) for c in ("label", "copies"))
+    row = np.array([r.row for r in counted])
+    found = spark.read.parquet(grown.path).orderBy("tree").collect()
+    assert [r.tree for r in found] == list(range(12))
+    total = np.zeros((len(x), classes))
+    for r in found:
+        drawn = forest.poisson(row, copies, 5 * 100_003 + r.tree) if bootstrap else copies
+        kept = drawn > 0
+        nodes, shares = forest.grow_tree(
+            own[kept], label[kept], drawn[kept].astype(float), classes, [5, r.tree, 0], weights
+        )
+        assert (forest.unpack_nodes(r.nodes) == nodes).all()
+        assert (np.frombuffer(r.shares).reshape(-1, classes) == shares).all()
+        assert r.size == nodes.nbytes + shares.nbytes
+        total += forest.tree_shares(x, nodes, shares)
+    expected = {tuple(a): b for a, b in zip(x.tolist(), (total / 12).tolist())}
+    blocks = forest.Forest(grown.path, 12, classes, False, 5000)
+    assert len(blocks.blocks(spark)) > 1
+    for model in (grown, blocks):
+        scored = model.add_probabilities(matrix_of(spark, x, y)).collect()
+        assert len(scored) == 200
+        for r in scored:
+            assert np.allclose(r.probability, expected[tuple(r.tw_features.toArray().tolist())], rtol=0, atol=1e-12)
+            assert r.prediction == int(np.argmax(r.probability))
+
+
+def test_rows_go_to_the_trees_in_blocks(spark, noisy, monkeypatch):
+    """More blocks of trees than of rows, fewer, and rows in several blocks and parts."""
+    spec = TrainSpec("label", model_type="exact_forest", n_estimators=20, seed=3)
+    artifact, _, _ = fit_model(noisy, spec)
+    parts = artifact.pipeline.transform(noisy).select("u", "v", "label", "tw_features")
+    expected = sorted(tuple(r)[:3] + tuple(r.probability) for r in artifact.forest.add_probabilities(parts).collect())
+    small = forest.Forest(artifact.forest.path, 20, 3, False, 20_000)
+    ways = []
+    monkeypatch.setattr(forest.Forest, "summed", lambda self, *a, f=forest.Forest.summed: ways.append(a[1:]) or f(self, *a))
+    monkeypatch.setattr(forest, "PART", 50)
+    for most, jobs in ((128 << 20, 1), (8 * 8 * 300, 2), (8, 0)):
+        monkeypatch.setattr(forest, "ROWS_BYTES", most)
+        ways.clear()
+        got = sorted(tuple(r)[:3] + tuple(r.probability) for r in small.add_probabilities(parts).collect())
+        assert [a[:3] for a in got] == [a[:3] for a in expected] and len(got) == 453
+        assert np.allclose([a[3:] for a in got], [a[3:] for a in expected], rtol=0, atol=1e-12)
+        assert len(ways) == jobs
+
+
+def test_tables_of_plain_nodes_are_still_scored(spark, noisy, tmp_path):
+    spec = TrainSpec("label", model_type="exact_forest", n_estimators=5, seed=3)
+    artifact, _, _ = fit_model(noisy, spec)
+    found = spark.read.parquet(artifact.forest.path).collect()
+    plain = [(r.tree, r.leaf, bytearray(forest.unpack_nodes(r.nodes).tobytes()), r.shares) for r in found]
+    spark.createDataFrame(plain, "tree int, leaf int, nodes binary, shares binary").write.parquet(str(tmp_path / "f"))
+    parts = artifact.pipeline.transform(noisy).select("u", "v", "label", "tw_features")
+    old = forest.Forest(str(tmp_path / "f"), 5, 3)
+    for model in (old, forest.Forest(old.path, 5, 3, False, 1)):
+        got = sorted(tuple(r)[:3] + tuple(r.probability) for r in model.add_probabilities(parts).collect())
+        expected = sorted(tuple(r)[:3] + tuple(r.probability) for r in artifact.forest.add_probabilities(parts).collect())
+        assert np.allclose([a[3:] for a in got], [a[3:] for a in expected], rtol=0, atol=1e-12)

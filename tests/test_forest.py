@@ -212,3 +212,42 @@ def test_tables_of_plain_nodes_are_still_scored(spark, noisy, tmp_path):
         got = sorted(tuple(r)[:3] + tuple(r.probability) for r in model.add_probabilities(parts).collect())
         expected = sorted(tuple(r)[:3] + tuple(r.probability) for r in artifact.forest.add_probabilities(parts).collect())
         assert np.allclose([a[3:] for a in got], [a[3:] for a in expected], rtol=0, atol=1e-12)
+
+
+def test_a_forest_of_many_rows_counts_them_by_bins(spark, tmp_path, monkeypatch):
+    """Spark ML's trees on counted rows: every tree draws Poisson counts, of all rows together."""
+    from tabwright.operators import train
+    from tabwright.session import spread
+
+    monkeypatch.setattr(train, "TASK_ROWS", 500)
+    points = []
+    counted = train.fit_counted
+    monkeypatch.setattr(train, "fit_counted", lambda *a: points.append(a[1].count()) or counted(*a))
+    rows = [(float(i % 7), "abc"[i % 3], "xyz"[i % 7 // 3 if i % 5 else i % 3]) for i in range(4200)]
+    df = spark.createDataFrame(rows, "u double, g string, label string").coalesce(1)
+    spec = TrainSpec("label", model_type="random_forest", n_estimators=60, class_weight=None)
+    artifact, total, _ = fit_model(df, spec)
+    assert total == 4200 and points == [4200]
+    model = artifact.pipeline.stages[-1]
+    drawn = [t.rootNode().impurityStats().count() for t in model._java_obj.trees()]
+    assert len(set(drawn)) > 30 and abs(np.mean(drawn) - 4200) < 5 * math.sqrt(4200 / 60)
+    assert 0.4 < np.var(drawn) / 4200 < 2
+    assert model.numClasses == 3 and model.getFeaturesCol() == "tw_features" and model.getNumTrees == 60
+    save_artifact(spark, artifact, str(tmp_path / "m"))
+    cells = df.select("u", "g").distinct()
+
+    def probabilities(model):
+        scored = score_table(cells, model)
+        return {(r.u, r.g): [r[c] for c in scored.probability_columns] for r in scored.frame.collect()}
+
+    found = probabilities(artifact)
+    assert len(found) == 21 and probabilities(load_artifact(spark, str(tmp_path / "m"))) == found
+    monkeypatch.setattr(train, "TASK_ROWS", 10_000)  # Spark's own draws, row by row
+    plain, _, _ = fit_model(df, spec)
+    assert len(points) == 1
+    expected = probabilities(plain)
+    assert all(np.allclose(found[k], expected[k], rtol=0, atol=0.1) for k in expected)
+    monkeypatch.setattr(train, "TASK_ROWS", 500)
+    again = probabilities(fit_model(df.repartition(5), spec)[0])  # draws follow from the rows alone
+    assert all(np.allclose(found[k], again[k], rtol=0, atol=1e-9) for k in found)
+    assert spread(df, 4200, 1000).rdd.getNumPartitions() == 5 and spread(df, 4200, 4200) is df

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.operators.gram import blocked_correlations
 from tabwright.operators.preprocess import fit_preprocessing, training_statistics
 from tabwright.operators.score import score_table
 from tabwright.operators.train import TrainSpec, fit_model
@@ -70,3 +71,33 @@ def test_statistics_take_few_passes(spark, companies):
     assert np.isclose(plan.means["gap"], mean) and np.isclose(plan.scales["gap"], deviation)
     constant = rows.withColumn("one", F.when(F.col("headcount") > 30, F.lit(7.0)))
     assert fit_preprocessing(constant, ["one"], []).scales["one"] == 1.0
+
+
+# --- correlations in one pass -------------------------------------------------
+def test_blocked_correlations_read_the_rows_once(spark):
+    """Partitions far apart, columns that vary only between them, gaps that come late, and an
+    infinite value in a row that its partner lacks."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 6)) @ rng.standard_normal((6, 6))
+    x += 1e6 * (np.arange(400) // 100)[:, None]
+    x[:, 2] = np.arange(400) // 100
+    x[:, 3] = 7.25
+    x[250:, 4] = np.nan
+    x[::7, 1] = np.nan
+    x[3, 5], x[3, 4] = np.inf, np.nan
+    names = [f"c{i}" for i in range(6)]
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame([[i // 100, *r] for i, r in enumerate(rows)], "p int, " + ", ".join(f"{c} double" for c in names))
+    df = df.repartitionByRange(4, "p").select(names).localCheckpoint()
+    spark.sparkContext.setJobGroup("correlations", "")
+    found = blocked_correlations(df, names)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("correlations")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2
+    got = {(r.left, r.right): r.correlation for r in found.collect()}
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if 3 in (i, j) or 5 in (i, j):
+                assert got[a, b] is None
+            else:
+                assert abs(got[a, b] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
+from tabwright.operators import train
 from tabwright.operators.gram import blocked_correlations
 from tabwright.operators.preprocess import fit_preprocessing, training_statistics
 from tabwright.operators.score import score_table
@@ -101,3 +103,41 @@ def test_blocked_correlations_read_the_rows_once(spark):
                 assert got[a, b] is None
             else:
                 assert abs(got[a, b] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+
+
+# --- equal rows before the solver ---------------------------------------------
+def test_equal_rows_reach_the_solver_as_one(spark, monkeypatch):
+    """Without numbers the solver gets one row for each pattern, gaps and a hot one included, and
+    finds the model that it finds from all rows."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 1, F.concat(F.lit("k"), F.col("id") % 4)).alias("kind"),
+        F.when(F.col("id") % 5 != 2, F.date_add(F.lit("2020-01-01"), (F.col("id") % 3).cast("int"))).alias("day"),
+        F.when(F.col("id") % 11 != 0, (F.col("id") * F.col("id")) % 3).alias("label"),
+    )
+    read, fit = [], LogisticRegression.fit
+
+    def counting(self, matrix, *rest):
+        read.append(matrix.agg(F.count("*"), F.round(F.sum("tw_weight"), 6)).first())
+        return fit(self, matrix, *rest)
+
+    monkeypatch.setattr(LogisticRegression, "fit", counting)
+    spec = TrainSpec("label", inverse_regularization=10.0, tolerance=1e-12)
+    artifact, total, _ = fit_model(rows, spec)
+    monkeypatch.setattr(train, "TASK_ROWS", 0)
+    whole, _, _ = fit_model(rows, spec)
+    (counted, weight), (everything, same) = read
+    assert counted <= 6 * 4 * 3 < everything == total and weight == same == total
+    kinds = rows.drop("label").distinct().withColumn("key", F.concat_ws("|", "kind", "day", F.isnull("kind"), F.isnull("day")))
+    a, b = ({r.key: list(r)[1:] for r in score_table(kinds, m, keep=["key"]).frame.collect()} for m in (artifact, whole))
+    assert len(a) > 12 and a.keys() == b.keys()
+    for key in a:
+        assert a[key][0] == b[key][0] and np.allclose(a[key][1:], b[key][1:], atol=1e-6)
+
+
+def test_patterns_beyond_the_limit_or_numbers_are_left_alone(spark):
+    rows = spark.range(100).select(
+        F.col("id").cast("string").alias("code"), (F.col("id") % 5).alias("x"), (F.col("id") % 2).alias("label")
+    )
+    for columns in (["code", "label"], ["x", "label"]):
+        artifact, total, _ = fit_model(rows.select(columns), TrainSpec("label"))
+        assert total == 100 and score_table(rows, artifact).frame.count() == 100

@@ -84,11 +84,13 @@ class SplitSpec:
 @dataclass(frozen=True)
 class SplitResult:
     """``frame`` is the input with a ``split`` column; ``quotas`` holds one row
-    per class (one row in all when classes are not used)."""
+    per class (one row in all when classes are not used). ``one_pass`` says that ``frame``
+    reads every row once, without a shuffle."""
 
     frame: DataFrame
     quotas: DataFrame
     warning: str | None
+    one_pass: bool = False
 
 
 def with_quotas(counts: DataFrame, fractions, rows: str = "n") -> DataFrame:
@@ -344,14 +346,14 @@ def _with_cuts(rows: DataFrame, class_value, cuts: DataFrame, classes: int) -> D
     return rows.join(copies, class_value.eqNullSafe(F.col("cut_class")) & own).drop("salt")
 
 
-def _assign(df, spec, class_value, key_columns, cuts, classes) -> DataFrame:
+def _assign(df, spec, class_value, key_columns, cuts, classes, ties) -> DataFrame:
     """Row-local comparison of each row's hash with its class's cut points."""
     columns = df.columns
     placed = _with_cuts(
         df.withColumn("h", row_hash(df, spec.seed, key_columns)), class_value, cuts, classes
     )
     plain = [quoted(c) for c in columns]
-    if not _has_ties(cuts):
+    if not ties:
         return placed.select(*plain, _side(F.col("h")))
     clear = placed.filter(~_is_tied(F.col("h"))).select(*plain, _side(F.col("h")))
     tied = placed.filter(_is_tied(F.col("h")))
@@ -409,17 +411,18 @@ RESERVED = (
 )
 
 
-def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
+def split_table(df: DataFrame, spec: SplitSpec, observed: DataFrame | None = None) -> SplitResult:
     """Add a ``split`` column with exact quotas per class.
 
     Three passes; the first two read keys and target only, and the table itself
     is never shuffled. Rows without a class value form a class of their own.
+    ``observed`` is ``df`` with an observation; the result reads it if that takes one pass.
     """
     if "split" in df.columns:
         raise ValueError("the table already has a column named split")
     require_columns(df, spec.key_columns, "split keys")
     if set(RESERVED) & set(df.columns):
-        return _split_renamed(df, spec)
+        return _split_renamed(df, spec, observed)
     warning = None
     target = spec.target_column if spec.stratify else None
     if target is not None:
@@ -461,23 +464,27 @@ def split_table(df: DataFrame, spec: SplitSpec) -> SplitResult:
     )
     cuts = _cut_points(hashed, groups, places, classes)
     groups.unpersist()
-    frame = _assign(df, spec, class_value, spec.key_columns, cuts, classes)
-    return SplitResult(frame, quotas, warning)
+    ties = _has_ties(cuts)
+    one_pass = classes <= BROADCAST_CLASSES and not ties
+    read = observed if one_pass and observed is not None else df
+    frame = _assign(read, spec, class_value, spec.key_columns, cuts, classes, ties)
+    return SplitResult(frame, quotas, warning, one_pass)
 
 
-def _split_renamed(df: DataFrame, spec: SplitSpec) -> SplitResult:
+def _split_renamed(df: DataFrame, spec: SplitSpec, observed: DataFrame | None) -> SplitResult:
     held = {c: f"tw_{c}_held" for c in df.columns if c in RESERVED}
     inner = replace(
         spec,
         target_column=held.get(spec.target_column, spec.target_column),
         key_columns=tuple(held.get(c, c) for c in spec.key_columns),
     )
-    result = split_table(df.withColumnsRenamed(held), inner)
+    observed = observed and observed.withColumnsRenamed(held)
+    result = split_table(df.withColumnsRenamed(held), inner, observed)
     warning = result.warning
     if warning and spec.target_column in held:
         warning = warning.replace(held[spec.target_column], spec.target_column)
     back = {new: old for old, new in held.items()}
-    return SplitResult(result.frame.withColumnsRenamed(back), result.quotas, warning)
+    return replace(result, frame=result.frame.withColumnsRenamed(back), warning=warning)
 
 
 def no_classes_reason(rows: int, classes: int, smallest: int, splits: int, most=None) -> str:

@@ -43,31 +43,42 @@ def build_features(
     protect_outputs(spark, [output], [source], overwrite)
     table = read_table(spark, source, **reading)
     plan = FeaturePlan(table, recipe)
-    counts = table.agg(F.count("*").alias("input_rows"), *plan.counters()).first().asDict()
-    if not counts["input_rows"]:
-        raise ValueError("the source table has no rows")
-    warnings = plan.messages(counts)
-    dropped = sum(
-        counts[f"w{i}"] for i, w in enumerate(plan.warns) if w.rule == "missing_target"
-    )
-    kept = counts["input_rows"] - dropped
-    if not kept:
-        raise ValueError("no row has a target value")
-    frame, sizes, by = plan.frame(), {}, ()
+    frame, sizes, by, split_warning = plan.frame(), {}, (), None
+
+    def counted():
+        return table.agg(F.count("*").alias("input_rows"), *plan.counters()).first().asDict()
+
+    def missing_targets(counts):
+        return sum(counts[f"w{i}"] for i, w in enumerate(plan.warns) if w.rule == "missing_target")
+
+    if frame.isEmpty():
+        counts = counted()
+        if not counts["input_rows"]:
+            raise ValueError("the source table has no rows")
+        if counts["input_rows"] == missing_targets(counts):
+            raise ValueError("no row has a target value")
+    # source rows and warnings are counted by the write itself, unless rows are read more than
+    # once there or shuffled
+    seen, written = Observation("seen"), Observation("written")
+    observed, one_pass = plan.frame(seen), True
     if recipe.target_column is not None and split is not None:
         spec = replace(split, target_column=recipe.target_column)
-        result = split_table(frame, spec)
-        if result.warning:
-            warnings.append(result.warning)
+        result = split_table(frame, spec, observed)
+        split_warning, one_pass = result.warning, result.one_pass
         totals = result.quotas.agg(*[F.sum(s).alias(s) for s in SPLITS]).first()
         sizes = {s: totals[s] for s, f in zip(SPLITS, spec.fractions) if f > 0}
-        frame, by = result.frame, ("split",)
-    written = Observation("written")
-    if by:
-        frame = frame.observe(written, *[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
+        by = ("split",)
+        frame = result.frame.observe(written, *[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
+    else:
+        frame = observed
+    counts = {} if one_pass else counted()
     write_table(frame, output, overwrite=overwrite, partition_by=by, allowed=("csv", "parquet"))
     if by and {s: n for s, n in written.get.items() if n} != {s: n for s, n in sizes.items() if n}:
         raise RuntimeError(f"rows written per split {written.get} are not the quotas {sizes}")
+    counts = counts or seen.get
+    dropped = missing_targets(counts)
+    kept = counts["input_rows"] - dropped
+    warnings = plan.messages(counts) + ([split_warning] if split_warning else [])
     report = FeatureBuild(
         output, tuple(plan.engineered), counts["input_rows"], kept, dropped, sizes, tuple(warnings)
     )

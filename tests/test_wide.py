@@ -4,10 +4,13 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from tabwright.operators import train
+from tabwright.operators.features import FeatureRecipe
 from tabwright.operators.gram import blocked_correlations
 from tabwright.operators.preprocess import fit_preprocessing, training_statistics
 from tabwright.operators.score import score_table
+from tabwright.operators.split import SplitSpec
 from tabwright.operators.train import TrainSpec, fit_model
+from tabwright.plans import training
 from tabwright.sources.artifacts import load_artifact, save_artifact
 
 
@@ -141,3 +144,46 @@ def test_patterns_beyond_the_limit_or_numbers_are_left_alone(spark):
     for columns in (["code", "label"], ["x", "label"]):
         artifact, total, _ = fit_model(rows.select(columns), TrainSpec("label"))
         assert total == 100 and score_table(rows, artifact).frame.count() == 100
+
+
+# --- counts of the source in the write ----------------------------------------
+@pytest.mark.parametrize("ways", ["split", "copies", "unsplit"])
+def test_source_rows_and_warnings_are_counted_by_the_write(spark, tmp_path, monkeypatch, ways):
+    """One pass over the rows counts them; copies that lie on a cut are read twice there, so they
+    are counted apart."""
+    number = F.lit(3) if ways == "copies" else F.col("id")
+    rows = spark.range(400).select(
+        (number - 5).alias("n"), F.lit(0).alias("none"),
+        F.when(F.col("id") % 8 != 0, F.when(F.col("id") % 2 == 0, "a").otherwise("b")).alias("label"),
+    )
+    rows.repartition(4).write.parquet(f"{tmp_path}/source.parquet")
+    plans, write = [], training.write_table
+
+    def looking(frame, *rest, **options):
+        plans.append(frame._jdf.queryExecution().analyzed().toString())
+        write(frame, *rest, **options)
+
+    monkeypatch.setattr(training, "write_table", looking)
+    recipe = FeatureRecipe(target_column="label", log_columns=("n",), ratio_features=("r=n/none",))
+    split = None if ways == "unsplit" else SplitSpec(seed=1)
+    built = training.build_features(spark, f"{tmp_path}/source.parquet", f"{tmp_path}/out.parquet", recipe, split)
+    assert plans[0].count("CollectMetrics seen") == (ways != "copies")
+    assert (built.input_rows, built.output_rows, built.dropped_target_rows) == (400, 350, 50)
+    assert sum(built.split_rows.values()) == (0 if ways == "unsplit" else 350)
+    negative = {"copies": 400}.get(ways, 5)
+    assert [int(w.split(" values of n are")[0]) for w in built.warnings if "negative" in w] == [negative]
+    assert sum("400 zero denominators" in w for w in built.warnings) == 1
+    assert sum("50 rows without a value in label" in w for w in built.warnings) == 1
+
+
+def test_empty_sources_are_refused_before_anything_is_written(spark, tmp_path):
+    rows = spark.range(20).select("id", F.lit(None).cast("string").alias("label"))
+    rows.write.parquet(f"{tmp_path}/blank.parquet")
+    rows.limit(0).write.parquet(f"{tmp_path}/empty.parquet")
+    for name, text in (("blank", "no row has a target value"), ("empty", "the source table has no rows")):
+        with pytest.raises(ValueError, match=text):
+            training.build_features(
+                spark, f"{tmp_path}/{name}.parquet", f"{tmp_path}/{name}_out.parquet",
+                FeatureRecipe(target_column="label"), SplitSpec(),
+            )
+        assert not (tmp_path / f"{name}_out.parquet").exists()
